@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import ArrayType, DoubleType
 
-from tokenloom.functions.vectors import softmax
 from tokenloom.operators.positions import key_positions
 
 MATRIX = ArrayType(ArrayType(DoubleType()))
@@ -73,9 +72,18 @@ def causal_scores(q: pa.Array, k: pa.Array) -> pa.Array:
     return _triangles([a @ b.T / np.sqrt(a.shape[1]) for a, b in zip(_matrices(q), _matrices(k))])
 
 
-def causal_weights(scores: Column) -> Column:
+@F.arrow_udf(MATRIX)
+def causal_weights(scores: pa.Array) -> pa.Array:
     """Softmax of every score row."""
-    return F.transform(scores, lambda row: softmax(row))
+    if not len(scores):
+        return _EMPTY
+    rows = scores.flatten()
+    lengths = rows.value_lengths().to_numpy(zero_copy_only=False)
+    starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    flat = rows.flatten().to_numpy(zero_copy_only=False)
+    powers = np.exp(flat - np.repeat(np.maximum.reduceat(flat, starts), lengths))
+    shares = powers / np.repeat(np.add.reduceat(powers, starts), lengths)
+    return _nested(shares, lengths, scores.value_lengths().to_numpy(zero_copy_only=False))
 
 
 @F.arrow_udf(MATRIX)
@@ -112,7 +120,8 @@ def multi_head(df: DataFrame, keys: Sequence[str], heads: int, kv_heads: int, he
     split = head_blocks(df, heads, kv_heads, head_dim)
     weights = causal_weights(causal_scores("q", "k"))
     pooled = split.select(*keys, "head", attention_pool(weights, F.col("v")).alias("_out"))
-    return pooled.select(*keys, "head", F.posexplode("_out").alias("p", "out"))
+    # Outer, because a plain explode adds a filter that would run the Python step twice.
+    return pooled.select(*keys, "head", F.posexplode_outer("_out").alias("p", "out"))
 
 
 def concat_heads(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.order import hash_bucket, ordkey
 
-KEY_BUCKETS = 4096
+# One key bucket per so many rows, and never more buckets than this.
+BUCKET_ROWS = 1_000_000
+MAX_KEY_BUCKETS = 16_384
 
 
 def positions(
@@ -43,7 +45,7 @@ def positions(
         F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"),
         *([F.sum("_sum").over(Window.partitionBy(*group)).alias(total)] if total else []),
     )
-    # Without groups there are at most 65,536 (hash) or KEY_BUCKETS (key) starts, so the
+    # Without groups there are at most 65,536 (hash) or MAX_KEY_BUCKETS (key) starts, so the
     # broadcast is bounded. Group counts have no bound: Spark chooses the join.
     starts = starts if group else F.broadcast(starts)
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -72,11 +74,17 @@ def with_key_bucket(df: DataFrame, key: str, out: str = "_range") -> DataFrame:
 
     The edges only have to rise with the key, so approximate ones still give exact positions.
     """
-    steps = [i / KEY_BUCKETS for i in range(1, KEY_BUCKETS)]
-    edges = sorted(set(df.approxQuantile(key, steps, 1.0 / (4 * KEY_BUCKETS))))
+    keys = df.select(F.col(key).cast("double").alias("_number"))
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    buckets = min(MAX_KEY_BUCKETS, max(cores, keys.count() // BUCKET_ROWS))
+    steps = [i / buckets for i in range(1, buckets)]
+    edges = sorted(set(keys.approxQuantile("_number", steps, 1.0 / (4 * buckets)))) if steps else []
+    if not edges:
+        return df.withColumn(out, F.lit(0))
     number = df.withColumn("_number", F.col(key).cast("double"))
     splits = [float("-inf"), *edges, float("inf")]
-    return Bucketizer(splits=splits, inputCol="_number", outputCol=out).transform(number).drop("_number")
+    bucketed = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket_number").transform(number)
+    return bucketed.withColumn(out, F.col("_bucket_number").cast("int")).drop("_number", "_bucket_number")
 
 
 def key_positions(

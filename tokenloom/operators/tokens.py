@@ -240,7 +240,8 @@ def embed_tokens(df: DataFrame, table: DataFrame, key: Sequence[str], ids: str =
     A frequent id is hot on the token side, so the looked-up table is broadcast while it is
     small enough for Spark to do so and otherwise joined with each id spread over salts.
     """
-    tokens = df.select(*key, F.posexplode(ids).alias("pos", "id"))
+    # Outer, because a plain explode adds a filter that would compute the ids twice.
+    tokens = df.select(*key, F.posexplode_outer(ids).alias("pos", "id")).where(F.col("pos").isNotNull())
     if _small(table):
         return tokens.join(F.broadcast(table), "id")
     salts = 64

@@ -18,9 +18,9 @@ CONTEXT = 32
 
 
 def long_rows(df, keys, **columns):
-    """One row per vector position with every named vector's value, rounded."""
+    """One row per vector position with every named vector's value, rounded (no vector is empty)."""
     packed = F.arrays_zip(*[c.alias(n) for n, c in columns.items()])
-    spread = df.select(*keys, F.posexplode(packed).alias("k", "_v"))
+    spread = df.select(*keys, F.posexplode_outer(packed).alias("k", "_v"))
     return spread.select(*keys, F.col("k").cast("bigint").alias("k"), *[r6(F.col("_v")[n]).alias(n) for n in columns])
 
 
@@ -181,8 +181,8 @@ def score_blocks(spark, folder):
 
 
 def cells_of(df, column):
-    lists = df.select(*SEQ_KEY, F.posexplode(column).alias("i", "_row"))
-    values = lists.select(*SEQ_KEY, "i", F.posexplode("_row").alias("j", "_x"))
+    lists = df.select(*SEQ_KEY, F.posexplode_outer(column).alias("i", "_row"))
+    values = lists.select(*SEQ_KEY, "i", F.posexplode_outer("_row").alias("j", "_x"))
     return values.select(*SEQ_KEY, F.col("i").cast("bigint"), F.col("j").cast("bigint"), r6("_x").alias("value"))
 
 
@@ -221,11 +221,14 @@ heads AS MATERIALIZED (SELECT h.label, h.seq, h.head, h.i AS p, v.d, sum(h.w * v
 
 
 def head_outputs(spark, folder):
-    rows = sequences(spark, folder).select(
-        *SEQ_KEY, "p", F.col("vec").alias("q"), F.slice("vec", 1, KV_HEADS * HEAD).alias("k"),
-        F.slice("vec", SIZE - KV_HEADS * HEAD + 1, KV_HEADS * HEAD).alias("v"),
+    width = KV_HEADS * HEAD
+    # Keys and values are parts of the same vector: cut them after the shuffle, not before.
+    blocks = A.blocks(sequences(spark, folder), SEQ_KEY, ["vec"])
+    blocks = blocks.select(
+        *SEQ_KEY, F.col("vec").alias("q"), F.transform("vec", lambda r: F.slice(r, 1, width)).alias("k"),
+        F.transform("vec", lambda r: F.slice(r, SIZE - width + 1, width)).alias("v"),
     )
-    return A.multi_head(A.blocks(rows, SEQ_KEY, ["q", "k", "v"]), SEQ_KEY, HEADS, KV_HEADS, HEAD)
+    return A.multi_head(blocks, SEQ_KEY, HEADS, KV_HEADS, HEAD)
 
 
 @query("multi_head", f"WITH {HEADS_SQL} SELECT label, seq, head, p, d AS k, {sql_r6('o')} AS value FROM heads")
@@ -294,8 +297,8 @@ def score_matrix(spark, folder):
 )
 def quantize_vectors(spark, folder):
     rows = embeddings(spark, folder).withColumn("q", V.quantize_int8(F.col("vec"))).select("vec_id", "vec", "q.scale", "q.codes")
-    back = V.subtract(F.col("vec"), V.dequantize_int8(F.col("scale"), F.col("codes")))
-    return rows.select("vec_id", r6("scale").alias("scale"), F.array_join("codes", " ").alias("codes"), r6(V.block_scale(back)).alias("worst"))
+    rows = rows.withColumn("back", V.subtract(F.col("vec"), V.dequantize_int8(F.col("scale"), F.col("codes"))))
+    return rows.select("vec_id", r6("scale").alias("scale"), F.array_join("codes", " ").alias("codes"), r6(V.block_scale(F.col("back"))).alias("worst"))
 
 
 @query(
