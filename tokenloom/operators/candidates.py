@@ -175,17 +175,19 @@ def generate(
     wanted = k + 1
     if penalty > 1.0:
         wanted += (start.agg(F.max(F.size("_seen"))).first()[0] or 0) + max_new_tokens
-    options = stage(candidate_lists(scores, wanted), "options")
+    options = stage(candidate_lists(scores, wanted).withColumnRenamed("ctx", "_on"), "options")
     state = start
     for step in range(max_new_tokens):
         u = uniform(seed, *keys, F.lit(step))
         history = F.concat(F.col("_seen"), F.col("tokens"))
         chosen = _pick(F.col("options"), history, F.col("_len") + step >= min_length, end_token, k, penalty, do_sample, heat, p, u)
-        # A finished row has no context, meets no options and stays as it is.
-        state = state.join(options, "ctx", "left").withColumn("_next", chosen)
+        # A finished row has no context: it joins on a text no piece can equal (pieces never
+        # mix a control character and digits), which also spreads the finished rows.
+        nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string"))
+        state = state.withColumn("_on", F.coalesce("ctx", nowhere)).join(options, "_on", "left").withColumn("_next", chosen)
         state = state.withColumn("ctx", F.when(F.col("_next") != end_token, F.col("_next")))
         state = state.withColumn("tokens", F.when(F.col("ctx").isNotNull(), F.concat("tokens", F.array("ctx"))).otherwise(F.col("tokens")))
-        state = state.drop("options", "_next")
+        state = state.drop("options", "_next", "_on")
         if (step + 1) % stage_every == 0 and step + 1 < max_new_tokens:
             state = stage(state, "generate")
     return state.select(*keys, "tokens")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.vectors import mean, total
+from tokenloom.operators.joins import salted_join
 
 # Largest weight matrix (number of values) that travels to the executors.
 MAX_LOCAL_WEIGHTS = 16_000_000
@@ -47,11 +48,10 @@ def matmul_cells(a: DataFrame, b: DataFrame, salts: int = 16) -> DataFrame:
 
     All of a column of ``a`` meets one row of ``b``; salting on the row spreads it.
     """
-    left = a.withColumn("_salt", F.pmod(F.xxhash64("i"), F.lit(salts)).cast("int"))
-    left = left.select("i", F.col("j").alias("k"), F.col("v").alias("x"), "_salt")
+    left = a.select("i", F.col("j").alias("k"), F.col("v").alias("x"))
     right = b.select(F.col("i").alias("k"), "j", F.col("v").alias("y"))
-    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return left.join(right, ["k", "_salt"]).groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
+    met = salted_join(left, right, ["k"], ["i"], salts)
+    return met.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
 
 
 def weights_matrix(df: DataFrame, row: str, vec: str) -> np.ndarray:

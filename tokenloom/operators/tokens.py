@@ -7,10 +7,11 @@ from functools import cached_property
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.constants import FULL_PATTERN, IGNORE_LABEL, SIMPLE_PATTERN, special_names
+from tokenloom.operators.joins import salted_join
 
 # Largest vocabulary that travels to the executors as a value; a larger one is joined.
 MAX_LOCAL_PIECES = 1_000_000
@@ -30,14 +31,11 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = 8000) -> DataFram
     """Rank table (piece, id, is_special): the most frequent pieces, then the special names."""
     counts = df.select(F.explode(pretokenize(text)).alias("piece")).groupBy("piece").agg(F.count("*").alias("_count"))
     top = counts.orderBy(F.col("_count").desc(), "piece").limit(size)
-    # The window sees at most ``size`` rows.
-    rank = F.row_number().over(Window.orderBy(F.col("_count").desc(), "piece")) - 1
-    ranked = top.select("piece", rank.cast("int").alias("id"), F.lit(False).alias("is_special"))
+    # One list of at most ``size`` pieces: the special names follow whatever its length is.
+    best = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("_count")).alias("_neg"), "piece"))).alias("_best"))
     names = F.array(*[F.lit(name) for name in special_names()])
-    base = ranked.agg(F.count("*").alias("_base"))
-    specials = base.select("_base", F.posexplode(names).alias("_i", "piece"))
-    specials = specials.select("piece", (F.col("_base") + F.col("_i")).cast("int").alias("id"), F.lit(True).alias("is_special"))
-    return ranked.unionByName(specials)
+    listed = best.select(F.size("_best").alias("_n"), F.posexplode(F.concat(F.col("_best.piece"), names)).alias("id", "piece"))
+    return listed.select("piece", "id", (F.col("id") >= F.col("_n")).alias("is_special"))
 
 
 class Vocabulary:
@@ -126,10 +124,26 @@ class Vocabulary:
         result travels back to the row as a map, so the shuffled rows stay narrow."""
         plain = self.table.where(~F.col("is_special")).select("piece", "id")
         distinct = df.select(*key, F.explode(F.array_distinct(pieces)).alias("piece"))
-        pairs = distinct.join(plain, "piece").groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("piece", "id"))).alias("_map"))
+        found = salted_join(distinct, plain, ["piece"], key)
+        pairs = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("piece", "id"))).alias("_map"))
         unk = F.lit(self.unk_id)
-        found = F.transform(pieces, lambda p: F.coalesce(F.try_element_at(F.col("_map"), p), unk).cast("int"))
-        return df.join(pairs, list(key), "left").withColumn(out, found).drop("_map")
+        ids = F.transform(pieces, lambda p: F.coalesce(F.try_element_at(F.col("_map"), p), unk).cast("int"))
+        return df.join(pairs, list(key), "left").withColumn(out, ids).drop("_map")
+
+    def with_texts(self, df: DataFrame, key: Sequence[str], ids: str = "input_ids", out: str = "pieces", skip_special: bool = False) -> DataFrame:
+        """Add the pieces of an id list, by value or, for a larger vocabulary, by a join."""
+        if self.is_local:
+            return df.withColumn(out, self.texts(F.col(ids), skip_special))
+        return self.join_texts(df, key, ids, out, skip_special)
+
+    def join_texts(self, df: DataFrame, key: Sequence[str], ids: str = "input_ids", out: str = "pieces", skip_special: bool = False) -> DataFrame:
+        """Pieces by a join on the id, the counterpart of ``join_ids``."""
+        distinct = df.select(*key, F.explode(F.array_distinct(ids)).alias("id"))
+        found = salted_join(distinct, self.table.select("id", "piece"), ["id"], key)
+        names = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("id", "piece"))).alias("_map"))
+        shown = F.filter(ids, lambda i: i < F.lit(self.size)) if skip_special else F.col(ids)
+        texts = F.transform(shown, lambda i: F.try_element_at(F.col("_map"), i))
+        return df.join(names, list(key), "left").withColumn(out, texts).drop("_map")
 
 
 def _relist(shape: pa.Array, values: pa.Array) -> pa.Array:
@@ -238,16 +252,13 @@ def embed_tokens(df: DataFrame, table: DataFrame, key: Sequence[str], ids: str =
     """Vector of every id: rows (key, pos, id, vec). ``table`` is (id, vec).
 
     A frequent id is hot on the token side, so the looked-up table is broadcast while it is
-    small enough for Spark to do so and otherwise joined with each id spread over salts.
+    small (by a count of its values) and otherwise joined with each id spread over salts.
     """
     # Outer, because a plain explode adds a filter that would compute the ids twice.
     tokens = df.select(*key, F.posexplode_outer(ids).alias("pos", "id")).where(F.col("pos").isNotNull())
     if _small(table):
         return tokens.join(F.broadcast(table), "id")
-    salts = 64
-    salted = tokens.withColumn("_salt", F.pmod(F.xxhash64(*key, "pos"), F.lit(salts)).cast("int"))
-    copies = table.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, ["id", "_salt"]).drop("_salt")
+    return salted_join(tokens, table, ["id"], [*key, "pos"])
 
 
 def _small(table: DataFrame, values: int = 16_000_000) -> bool:

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.order import ordkey
-from tokenloom.session import new_path
+from tokenloom.session import new_path, spread, stage
 from tokenloom.sources.writers import SnapshotStore
 
 
@@ -61,15 +61,19 @@ def sgd_linear(
 ) -> list[float]:
     """Data-parallel gradient descent. Continues after the newest snapshot when there is one.
 
-    Every epoch deals the rows to its steps by a hash and writes them once, a folder per step,
-    so an epoch reads the table once whatever its number of steps.
+    The needed columns are written once. Every epoch then deals its rows to the steps by a
+    hash, a folder per step, so an epoch reads them once whatever its number of steps.
     """
     weights, first = [0.0] * (len(features) + 1), 0
     if snapshots and (found := snapshots.latest()):
         _, first, weights = found
+    if first >= max_epochs:
+        return weights
+    rows = stage(spread(df.select(*dict.fromkeys([*features, target, *keys]))), "fit")
     for epoch in range(first, max_epochs):
-        dealt = df.select(*features, target, batch_of(seed, epoch, steps_per_epoch, keys).alias("step"))
+        dealt = rows
         if steps_per_epoch > 1:
+            dealt = rows.select(*features, target, batch_of(seed, epoch, steps_per_epoch, keys).alias("step"))
             path = new_path(df.sparkSession, "epoch")
             dealt.write.partitionBy("step").parquet(path)
             dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
@@ -77,7 +81,8 @@ def sgd_linear(
             done = epoch * steps_per_epoch + step
             if max_steps is not None and done >= max_steps:
                 return weights
-            weights = gradient_step(dealt.where(F.col("step") == step), features, target, weights, rate)
+            batch = dealt.where(F.col("step") == step) if steps_per_epoch > 1 else dealt
+            weights = gradient_step(batch, features, target, weights, rate)
             if on_step:
                 on_step(done + 1, weights)
         if snapshots and epoch % save_every == 0:
@@ -91,6 +96,7 @@ def train_with_eval(
 ) -> DataFrame:
     """Metrics table (step, valid_loss): evaluated every ``eval_every`` steps up to ``max_steps``."""
     rows: list[tuple[int, float]] = []
+    valid = stage(spread(valid.select(*features, target)), "valid")
 
     def evaluate(step: int, weights: list[float]) -> None:
         if step % eval_every == 0:
