@@ -84,12 +84,15 @@ def pack_sequences(df: DataFrame, key: str, ids: str, chunk_size: int, eos_id: i
     placed = key_positions(stage(ended, "pack"), key, "_from", weight=F.col("_len"))
     first = _div(F.col("_from"), chunk_size)
     last = _div(F.col("_from") + F.col("_len") - 1, chunk_size)
-    cut = placed.withColumn("chunk", F.explode(F.sequence(first, last)))
-    start = F.greatest(F.col("chunk") * chunk_size - F.col("_from"), F.lit(0))
-    stop = F.least((F.col("chunk") + 1) * chunk_size - F.col("_from"), F.col("_len").cast("bigint"))
-    pieces = cut.select(
-        "chunk", F.struct(F.col("_from"), F.slice("_ids", (start + 1).cast("int"), (stop - start).cast("int")).alias("part")).alias("_piece")
-    )
+
+    def piece(chunk: Column) -> Column:
+        start = F.greatest(chunk * chunk_size - F.col("_from"), F.lit(0))
+        stop = F.least((chunk + 1) * chunk_size - F.col("_from"), F.col("_len").cast("bigint"))
+        part = F.slice("_ids", (start + 1).cast("int"), (stop - start).cast("int"))
+        return F.struct(chunk.alias("chunk"), F.struct(F.col("_from"), part.alias("part")).alias("_piece"))
+
+    # The row is cut before it is exploded, so a long row is not copied for each of its chunks.
+    pieces = placed.select(F.inline(F.transform(F.sequence(first, last), piece)))
     chunks = pieces.groupBy("chunk").agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
     joined = chunks.select("chunk", F.flatten(F.col("_pieces.part")).alias("input_ids"))
     return joined.where(F.size("input_ids") == chunk_size)

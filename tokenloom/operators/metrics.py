@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.prompts import strip
 from tokenloom.operators.positions import positions, with_key_bucket
+from tokenloom.session import stage
 
 
 def row_counts(df: DataFrame, by: str = "split") -> DataFrame:
@@ -48,7 +49,7 @@ def exact_percentiles(df: DataFrame, by: str, value: str, shares: Sequence[float
     Equal values are counted first; ranks then come from bucketed running sums, so neither a
     hot group nor a hot value ends up in one task or in one aggregation buffer.
     """
-    counts = df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_count"))
+    counts = stage(df.where(F.col(value).isNotNull()).groupBy(by, value).agg(F.count("*").alias("_count")), "counts")
     ranked = positions(with_key_bucket(counts, value), [value], "_range", "_from", "_n", F.col("_count"), [by])
     wanted = F.array(*[F.lit(float(s)) for s in shares])
     asked = ranked.withColumn("share", F.explode(wanted)).withColumn("_rank", F.col("share") * (F.col("_n") - 1))

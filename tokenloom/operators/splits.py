@@ -11,7 +11,7 @@ from tokenloom.functions.order import ordkey
 from tokenloom.operators.positions import key_positions, shuffled_positions
 
 # Above this many rows a sample is cut by position instead of a top-n on the driver.
-TOP_N_ROWS = 10_000
+TOP_N_ROWS = 1_000
 
 
 def split_exact(df: DataFrame, keys: Sequence[str], valid_rows: int = 100, seed: int = 42) -> DataFrame:

@@ -7,7 +7,7 @@ from functools import cached_property
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.constants import FULL_PATTERN, IGNORE_LABEL, SIMPLE_PATTERN, special_names
@@ -30,7 +30,14 @@ def pretokenize_full(text: str | Column) -> Column:
 def build_vocab(df: DataFrame, text: str = "text", size: int = 8000) -> DataFrame:
     """Rank table (piece, id, is_special): the most frequent pieces, then the special names."""
     counts = df.select(F.explode(pretokenize(text)).alias("piece")).groupBy("piece").agg(F.count("*").alias("_count"))
-    top = counts.orderBy(F.col("_count").desc(), "piece").limit(size)
+    # Bands of counts (by binary digits) that can hold the top ``size``: rare pieces, nearly
+    # all of them, are left out before the sort. At most 64 bands exist.
+    banded = counts.withColumn("_band", F.length(F.bin("_count")))
+    bands = banded.groupBy("_band").agg(F.count("*").alias("_pieces"))
+    above = F.sum("_pieces").over(Window.orderBy(F.col("_band").desc()).rowsBetween(Window.unboundedPreceding, -1))
+    needed = bands.withColumn("_above", F.coalesce(above, F.lit(0))).where(F.col("_above") < size).select("_band")
+    frequent = banded.join(F.broadcast(needed), "_band")
+    top = frequent.orderBy(F.col("_count").desc(), "piece").limit(size)
     # One list of at most ``size`` pieces: the special names follow whatever its length is.
     best = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("_count")).alias("_neg"), "piece"))).alias("_best"))
     names = F.array(*[F.lit(name) for name in special_names()])

@@ -14,6 +14,9 @@ from tokenloom.functions.order import ordkey
 from tokenloom.session import new_path, spread, stage
 from tokenloom.sources.writers import SnapshotStore
 
+# Up to this many steps every task may write a file of each step.
+FEW_STEPS = 32
+
 
 def mlp_classifier(train: DataFrame, vec: str, label: str, layers: Sequence[int], max_iter: int = 60, seed: int = 42):
     """Fit a network with two hidden layers and return the fitted pipeline."""
@@ -69,12 +72,15 @@ def sgd_linear(
         _, first, weights = found
     if first >= max_epochs:
         return weights
-    rows = stage(spread(df.select(*dict.fromkeys([*features, target, *keys]))), "fit")
+    rows = spread(stage(df.select(*dict.fromkeys([*features, target, *keys])), "fit"))
     for epoch in range(first, max_epochs):
         dealt = rows
         if steps_per_epoch > 1:
             dealt = rows.select(*features, target, batch_of(seed, epoch, steps_per_epoch, keys).alias("step"))
             path = new_path(df.sparkSession, "epoch")
+            if steps_per_epoch > FEW_STEPS:
+                # Keeps the number of files near the number of steps, and splits large ones.
+                dealt = dealt.hint("rebalance", "step")
             dealt.write.partitionBy("step").parquet(path)
             dealt = df.sparkSession.read.schema(dealt.schema).parquet(path)
         for step in range(steps_per_epoch):
@@ -96,7 +102,7 @@ def train_with_eval(
 ) -> DataFrame:
     """Metrics table (step, valid_loss): evaluated every ``eval_every`` steps up to ``max_steps``."""
     rows: list[tuple[int, float]] = []
-    valid = stage(spread(valid.select(*features, target)), "valid")
+    valid = spread(stage(valid.select(*features, target), "valid"))
 
     def evaluate(step: int, weights: list[float]) -> None:
         if step % eval_every == 0:

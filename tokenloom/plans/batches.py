@@ -12,6 +12,8 @@ from tokenloom.plans.registry import (
     PAIR_KEY, PAIRS_SQL, pieces_sql, SEED, VOCAB_SQL, documents, ids_sql, joined, pairs, query, shuffled_sql, vocabulary,
 )
 from tokenloom.functions.prompts import prompt_by_context
+from tokenloom.operators.splits import split_exact
+from tokenloom.session import stage
 from tokenloom.plans.tokenizing import CUT_IDS, CUTOFF, DOC_IDS, _labels_sql
 from tokenloom.sources.readers import read_table
 
@@ -218,13 +220,12 @@ def rank_summary(spark, folder):
 def training_steps(spark, folder, valid_rows: int = 10) -> DataFrame:
     """The whole preparation of a training set: split, render, encode, mask, group by length, pad,
     and one row per optimizer step with its rows, tokens and share of padding."""
-    from tokenloom.operators.splits import split_exact
-
     train = split_exact(pairs(spark, folder), PAIR_KEY, valid_rows, SEED).where(F.col("split") == "train").drop("split")
     vocab = vocabulary(spark, folder)
     prompt = prompt_by_context(F.col("question"), F.col("context"))
     rows = tokenize_pairs(train, vocab, prompt, F.concat(prompt, F.lit(" "), "answer"), PAIR_KEY, CUTOFF, mask_prompt=True)
-    rows = rows.select(*PAIR_KEY, "input_ids", "attention_mask", "labels").withColumn("len", F.size("input_ids"))
+    # The prepared set is written once; the batch passes then read only the columns they need.
+    rows = stage(rows.select(*PAIR_KEY, "input_ids", "attention_mask", "labels", F.size("input_ids").alias("len")), "prepared")
     padded = B.pad_batch(B.group_by_length(rows, PAIR_KEY, "len", 2, SEED)).withColumn("width", F.size("input_ids"))
     steps = padded.withColumn("step", F.floor(F.col("batch_id") / ACCUMULATION)).where(F.col("step") < MAX_STEPS)
     return steps.groupBy("step").agg(

@@ -8,7 +8,6 @@ from tokenloom.operators import candidates as N
 from tokenloom.plans.registry import PAIR_KEY, PAIRS_SQL, pieces_sql, SEED, documents, joined, pairs, query, r6, sql_r6
 from tokenloom.functions.constants import NAMED_SPECIALS
 from tokenloom.sources.readers import read_table
-from tokenloom.session import spread
 
 END = NAMED_SPECIALS[1]
 K, P = 50, 0.85
@@ -122,7 +121,7 @@ GREEDY_PICK = """SELECT conv_id, turn, token FROM (
 
 
 def generated(spark, folder, **options):
-    prompts = spread(pairs(spark, folder).select(*PAIR_KEY, "question"), *PAIR_KEY)
+    prompts = pairs(spark, folder, spread_out=True).select(*PAIR_KEY, "question")
     table = scores(spark, folder, end_token=END)
     done = N.generate(prompts, table, PAIR_KEY, "question", END, STEPS, penalty=PENALTY, k=40, **options)
     return done.select(*PAIR_KEY, joined("tokens").alias("completion"))

@@ -40,8 +40,9 @@ def documents(spark: SparkSession, folder: str) -> DataFrame:
     return spread(read_table(spark, folder, "documents"), "doc_id")
 
 
-def pairs(spark: SparkSession, folder: str) -> DataFrame:
-    return question_answer_pairs(read_table(spark, folder, "conversations"))
+def pairs(spark: SparkSession, folder: str, spread_out: bool = False) -> DataFrame:
+    turns = read_table(spark, folder, "conversations")
+    return question_answer_pairs(spread(turns, "conv_id", "turn") if spread_out else turns)
 
 
 def embeddings(spark: SparkSession, folder: str) -> DataFrame:

@@ -39,8 +39,8 @@ def write_predictions(df: DataFrame, path: str) -> DataFrame:
 
 
 def write_tensors(df: DataFrame, path: str) -> str:
-    """Store (name, i, vec) partitioned by name."""
-    df.write.mode("overwrite").partitionBy("name").parquet(path)
+    """Store (name, i, vec) partitioned by name: few files per name, a large name in several."""
+    df.hint("rebalance", "name").write.mode("overwrite").partitionBy("name").parquet(path)
     return path
 
 
