@@ -150,5 +150,5 @@ def test_embedding_lookup_by_salted_join(spark, docs, monkeypatch):
     rows = vocab.with_ids(docs, ["doc_id"])
     table = spark.range(20).select(F.col("id").cast("int").alias("id"), F.array(F.col("id") * 1.5).alias("vec"))
     small = sorted(map(str, T.embed_tokens(rows, table, ["doc_id"]).select("doc_id", "pos", "id", "vec").collect()))
-    monkeypatch.setattr(T, "_small", lambda table: False)
+    monkeypatch.setattr("tokenloom.operators.joins.MAX_BROADCAST_VALUES", 3)
     assert sorted(map(str, T.embed_tokens(rows, table, ["doc_id"]).select("doc_id", "pos", "id", "vec").collect())) == small

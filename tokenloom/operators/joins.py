@@ -17,3 +17,18 @@ def salted_join(many: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by
     left = many.withColumn("_salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     right = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return left.join(right, [*on, "_salt"]).drop("_salt")
+
+
+# Most numbers (or ids) a lookup table may hold to be broadcast: about 128 MB of doubles.
+MAX_BROADCAST_VALUES = 16_000_000
+
+
+def lookup_join(many: DataFrame, lookup: DataFrame, on: Sequence[str], spread_by: Sequence[str], vec: str) -> DataFrame:
+    """Inner join with a table of vectors: broadcast when its counted size allows, otherwise salted.
+
+    The count reads ``lookup`` once more, so stage it first when it is costly.
+    """
+    held = lookup.agg(F.coalesce(F.sum(F.size(vec)), F.lit(0))).first()[0]
+    if held <= MAX_BROADCAST_VALUES:
+        return many.join(F.broadcast(lookup), list(on))
+    return salted_join(many, lookup, on, spread_by)

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.vectors import mean, total
-from tokenloom.operators.joins import salted_join
+from tokenloom.operators.joins import lookup_join, salted_join
+from tokenloom.session import stage
 
 # Largest weight matrix (number of values) that travels to the executors.
 MAX_LOCAL_WEIGHTS = 16_000_000
@@ -68,10 +69,16 @@ def column_means(df: DataFrame, vec: str, by: Sequence[str] = ()) -> DataFrame:
 
 
 def mean_vectors(df: DataFrame, vec: str, by: str) -> DataFrame:
-    """Mean vector per group: rows (by, vec). Only one number per group and position is collected."""
+    """Mean vector per group: rows (by, ``vec``). Only one number per group and position is collected."""
     per = column_means(df, vec, [by])
     ordered = F.sort_array(F.collect_list(F.struct("k", "value")))
-    return per.groupBy(by).agg(ordered.alias("_cells")).select(by, F.col("_cells.value").alias("vec"))
+    return per.groupBy(by).agg(ordered.alias("_cells")).select(by, F.col("_cells.value").alias(vec))
+
+
+def with_mean_vector(df: DataFrame, key: str, vec: str, by: str, out: str) -> DataFrame:
+    """Add the mean vector of the row's group. The group means are staged, so they are computed once."""
+    means = stage(mean_vectors(df, vec, by).withColumnRenamed(vec, out), "means")
+    return lookup_join(df, means, [by], [key], out)
 
 
 def tensor_reduce(df: DataFrame, key: str, vec: str, how: str, dim: int | None, keepdim: bool = False) -> DataFrame:
@@ -169,7 +176,7 @@ def score_matrix(df: DataFrame, vec: str, by: str, values: Sequence[int]) -> Dat
     of rows is formed.
     """
     centers = mean_vectors(df, vec, by)
-    spread = centers.select(by, F.posexplode("vec").alias("k", "x"))
+    spread = centers.where(F.col(by).isin(list(values))).select(by, F.posexplode(vec).alias("k", "x"))
     other = spread.select(F.col(by).alias("_other"), "k", F.col("x").alias("y"))
     scores = spread.join(other, "k").groupBy(by, "_other").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
     return scores.groupBy(by).pivot("_other", list(values)).agg(F.first("score"))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tokenloom.functions.constants import FULL_PATTERN, IGNORE_LABEL, SIMPLE_PATTERN, special_names
-from tokenloom.operators.joins import salted_join
+from tokenloom.operators.joins import lookup_join, salted_join
 
 # Largest vocabulary that travels to the executors as a value; a larger one is joined.
 MAX_LOCAL_PIECES = 1_000_000
@@ -40,7 +40,7 @@ def build_vocab(df: DataFrame, text: str = "text", size: int = 8000) -> DataFram
     top = frequent.orderBy(F.col("_count").desc(), "piece").limit(size)
     # One list of at most ``size`` pieces: the special names follow whatever its length is.
     best = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("_count")).alias("_neg"), "piece"))).alias("_best"))
-    names = F.array(*[F.lit(name) for name in special_names()])
+    names = F.split(F.lit(" ".join(special_names())), " ")
     listed = best.select(F.size("_best").alias("_n"), F.posexplode(F.concat(F.col("_best.piece"), names)).alias("id", "piece"))
     return listed.select("piece", "id", (F.col("id") >= F.col("_n")).alias("is_special"))
 
@@ -258,20 +258,12 @@ def _encoding_factory(vocab: Vocabulary):
 def embed_tokens(df: DataFrame, table: DataFrame, key: Sequence[str], ids: str = "input_ids") -> DataFrame:
     """Vector of every id: rows (key, pos, id, vec). ``table`` is (id, vec).
 
-    A frequent id is hot on the token side, so the looked-up table is broadcast while it is
-    small (by a count of its values) and otherwise joined with each id spread over salts.
+    A frequent id is hot on the token side, so the table is broadcast while it is small (by a
+    count of its values) and otherwise joined with each id spread over salts.
     """
     # Outer, because a plain explode adds a filter that would compute the ids twice.
     tokens = df.select(*key, F.posexplode_outer(ids).alias("pos", "id")).where(F.col("pos").isNotNull())
-    if _small(table):
-        return tokens.join(F.broadcast(table), "id")
-    return salted_join(tokens, table, ["id"], [*key, "pos"])
-
-
-def _small(table: DataFrame, values: int = 16_000_000) -> bool:
-    """Whether an (id, vec) table holds few enough numbers to broadcast, by an actual count."""
-    held = table.agg(F.coalesce(F.sum(F.size("vec")), F.lit(0))).first()[0]
-    return held <= values
+    return lookup_join(tokens, table, ["id"], [*key, "pos"], "vec")
 
 
 def length_stats(df: DataFrame, length: Column, cutoff: int, by: str) -> DataFrame:

@@ -118,9 +118,8 @@ def compare_models(spark, folder):
     FROM scored s JOIN sq USING (vec_id)""",
 )
 def loss_columns(spark, folder):
-    rows = scored_embeddings(spark, folder)
-    centers = MX.mean_vectors(rows, "vec", "label").withColumnRenamed("vec", "center")
-    both = rows.join(centers, "label").withColumn("prob", V.softmax(F.col("logits")))
+    rows = MX.with_mean_vector(scored_embeddings(spark, folder), "vec_id", "vec", "label", "center")
+    both = rows.withColumn("prob", V.softmax(F.col("logits")))
     return both.select(
         "vec_id", "label",
         r6(V.cross_entropy(F.col("logits"), F.col("label"))).alias("cross_entropy"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions import constants as C
 from tokenloom.functions import prompts as P
+from tokenloom.operators import columns
 from tokenloom.operators.metrics import every_nth as keep_every_nth
 from tokenloom.plans.registry import PAIR_KEY, PAIRS_SQL, pairs, query, sql_text
 from tokenloom.sources.readers import read_table
@@ -74,7 +75,7 @@ def prompt_turns(spark, folder):
 
 @query("select_text", "SELECT doc_id, text FROM documents")
 def select_text(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", "text")
+    return columns.select_text(read_table(spark, folder, "documents"), "text", keep=("doc_id",))
 
 
 FREE_TEMPLATE = "Q({conv_id}.{turn}): {question}\nA: {answer}"
@@ -133,12 +134,13 @@ def every_nth(spark, folder):
         context IS NOT NULL AS has_context, md5(question || answer) AS row_hash FROM pairs""",
 )
 def add_columns(spark, folder):
-    wide = pairs(spark, folder).withColumns(
+    wide = columns.add_columns(
+        pairs(spark, folder),
         {
             "question_chars": F.char_length("question").cast("bigint"),
             "answer_chars": F.char_length("answer").cast("bigint"),
             "has_context": F.col("context").isNotNull(),
-            "row_hash": F.md5(F.concat("question", "answer")),
-        }
+            "row_hash": lambda df: F.md5(F.concat(df.question, df.answer)),
+        },
     )
     return wide.drop("question", "context", "answer")

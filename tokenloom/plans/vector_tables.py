@@ -25,8 +25,7 @@ def long_rows(df, keys, **columns):
 
 
 def with_center(spark, folder):
-    rows = embeddings(spark, folder)
-    return rows.join(MX.mean_vectors(rows, "vec", "label").withColumnRenamed("vec", "center"), "label")
+    return MX.with_mean_vector(embeddings(spark, folder), "vec_id", "vec", "label", "center")
 
 
 @query(
