@@ -20,6 +20,12 @@ def test_key_positions_with_clustered_keys(spark):
     assert [r.pos for r in rows] == list(range(len(ids)))
 
 
+def test_sampled_edges_do_not_change_positions(spark, monkeypatch):
+    monkeypatch.setattr(P, "EDGE_ROWS", 50)
+    rows = sorted(P.key_positions(spark.range(2000).repartition(6), "id").collect(), key=lambda r: r.id)
+    assert [r.pos for r in rows] == list(range(2000))
+
+
 def test_positions_in_a_hot_group(spark):
     df = spark.range(900).select("id", F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("g"))
     rows = P.key_positions(df, "id", group=["g"], total="n").collect()

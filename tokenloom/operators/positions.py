@@ -18,6 +18,8 @@ from tokenloom.functions.order import hash_bucket, ordkey
 # One key bucket per so many rows, and never more buckets than this.
 BUCKET_ROWS = 1_000_000
 MAX_KEY_BUCKETS = 16_384
+# Bucket edges come from about so many keys; edges only balance the work, never the result.
+EDGE_ROWS = 10_000_000
 
 
 def positions(
@@ -76,8 +78,11 @@ def with_key_bucket(df: DataFrame, key: str, out: str = "_range") -> DataFrame:
     """
     keys = df.select(F.col(key).cast("double").alias("_number"))
     cores = df.sparkSession.sparkContext.defaultParallelism
-    buckets = min(MAX_KEY_BUCKETS, max(cores, keys.count() // BUCKET_ROWS))
+    count = keys.count()
+    buckets = min(MAX_KEY_BUCKETS, max(cores, count // BUCKET_ROWS))
     steps = [i / buckets for i in range(1, buckets)]
+    if count > EDGE_ROWS:
+        keys = keys.sample(EDGE_ROWS / count, seed=1)
     edges = sorted(set(keys.approxQuantile("_number", steps, 1.0 / (4 * buckets)))) if steps else []
     if not edges:
         return df.withColumn(out, F.lit(0))

@@ -63,11 +63,11 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 def spread(df: DataFrame, *keys: str | Column) -> DataFrame:
     """Use every core for a small input stored in few blocks.
 
-    Large inputs already have more partitions than cores and are returned as they
-    are, so no text is shuffled at scale. Meant for a plain scan: the check then only
+    Inputs of more than a few partitions are returned as they are, so no text is
+    shuffled at scale. Meant for a plain scan: the check then only
     plans, while a table with shuffles of its own would have to run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() > 2 * cores:
+    if df.rdd.getNumPartitions() > max(16, cores // 4):
         return df
     return df.repartition(cores, *keys)
