@@ -30,8 +30,13 @@ def canonical(frame) -> list[tuple]:
 
 def compare(spark, con, folder: str, name: str) -> str:
     start = time.time()
-    got = queries()[name](spark, folder).toPandas()
+    df = queries()[name](spark, folder)
+    got = df.toPandas()
     spent = time.time() - start
+    plan = df._jdf.queryExecution().toString()
+    for forbidden in ("CartesianProduct", "BroadcastNestedLoopJoin", "Join Cross"):
+        if forbidden in plan:
+            return f"DIFF  {name}: the plan holds a {forbidden}"
     sql = oracle_sql().get(name)
     if sql is None:
         return f"ok    {name}: {len(got)} rows, no SQL, {spent:.1f}s"

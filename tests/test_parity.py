@@ -22,6 +22,17 @@ def test_query_equals_sql(spark, con, name):
     assert message.startswith("ok"), message
 
 
+def test_top_k_cuts_contexts_before_the_shuffle(spark):
+    assert "WindowGroupLimit" in queries()["top_k"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_and_columns_reach_the_scan(spark):
+    plan = queries()["prompt_support"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(role,user)" in plan
+    plan = queries()["shuffle"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
+    assert "text" not in plan and "ReadSchema: struct<doc_id:bigint>" in plan
+
+
 def test_every_sql_has_a_query():
     assert set(oracle_sql()) <= set(queries())
 

@@ -93,13 +93,13 @@ def sample_candidates(spark, folder):
 STEPS, PENALTY = 6, 1.3
 
 
-def generate_sql(pick: str) -> str:
-    """Unrolled steps; ``pick`` gives (conv_id, turn, token) from ``opts`` of a step."""
+def generate_sql(pick: str, source: str = "pairs", text: str = "question") -> str:
+    """Unrolled steps; ``pick`` gives (conv_id, turn, token) from the options of a step."""
     parts = [
         PAIRS_SQL,
         f"""cand AS MATERIALIZED (SELECT ctx, token, ln(count(*)) AS score FROM {pairs_of_pieces('documents', True)} GROUP BY ctx, token)""",
-        f"""s0 AS MATERIALIZED (SELECT conv_id, turn, {pieces_sql('question')} AS seen, {pieces_sql('question')}[-1] AS ctx,
-            []::VARCHAR[] AS tokens FROM pairs)""",
+        f"""s0 AS MATERIALIZED (SELECT conv_id, turn, {pieces_sql(text)} AS seen, {pieces_sql(text)}[-1] AS ctx,
+            []::VARCHAR[] AS tokens FROM {source})""",
     ]
     for step in range(STEPS):
         parts.append(

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tokenloom.operators.candidates import generate
+from tokenloom.plans.decoding import END, GREEDY_PICK, PENALTY, STEPS, generate_sql, scores
 from tokenloom.plans.prompting import SUPPORT_SQL
-from tokenloom.plans.registry import joined, query, vocabulary
+from tokenloom.plans.registry import PAIR_KEY, joined, query, vocabulary
 from tokenloom.plans.tokenizing import DOC_IDS
-from tokenloom.session import new_path
+from tokenloom.session import new_path, stage
 from tokenloom.sources.readers import read_table
 from tokenloom.streaming import streams
 
@@ -27,6 +29,19 @@ def stream_prompts(spark, folder):
     return streams.run_to_table(prompts, new_path(spark, "stream-prompts"))
 
 
+@query("stream_answers", generate_sql(GREEDY_PICK, "(SELECT conv_id, turn, text FROM conversations WHERE role = 'user')", "text"))
+def stream_answers(spark, folder):
+    """Question in, answer out: the scores are built once, each arriving batch is continued."""
+    asked = stream_of(spark, folder, "conversations").where("role = 'user'").select(*PAIR_KEY, "text")
+    table = stage(scores(spark, folder, end_token=END), "scores")
+
+    def answer(batch):
+        done = generate(batch, table, PAIR_KEY, "text", END, STEPS, penalty=PENALTY, k=40)
+        return done.select(*PAIR_KEY, joined("tokens").alias("completion"))
+
+    return streams.run_with(asked, new_path(spark, "stream-answers"), answer, "conv_id bigint, turn bigint, completion string")
+
+
 @query("stream_tokenize", f"WITH {DOC_IDS} SELECT doc_id, array_to_string(ids, ' ') AS ids FROM ids")
 def stream_tokenize(spark, folder):
     rows = streams.stream_tokenize(stream_of(spark, folder, "documents"), vocabulary(spark, folder))

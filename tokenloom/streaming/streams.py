@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,6 +31,20 @@ def stream_tokenize(documents: DataFrame, vocab: Vocabulary, key: str = "doc_id"
     return documents.select(key, vocab.ids(pretokenize("text")).alias("input_ids"))
 
 
+def run_with(stream: DataFrame, path: str, answer: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
+    """Process all that is there batch by batch with a table function (for example generation).
+
+    Each batch overwrites the folder of its own number, so a repeated batch adds nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        answer(batch).write.mode("overwrite").parquet(f"{path}/data/batch={number}")
+
+    query = stream.writeStream.foreachBatch(write).option("checkpointLocation", f"{path}/progress").trigger(availableNow=True).start()
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(schema).parquet(f"{path}/data").drop("batch")
+
+
 def run_to_table(stream: DataFrame, path: str) -> DataFrame:
     """Process all that is there, append it to a parquet table, stop, and read the table.
 
