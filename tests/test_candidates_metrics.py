@@ -104,9 +104,10 @@ def test_generation_matches_a_plain_loop(spark, penalty, min_length):
         groups.setdefault(r.ctx, []).append((r.token, r.score))
     prompts = [(i, " ".join(rng.choice([*words, "zz"]) for _ in range(rng.randrange(1, 7)))) for i in range(30)]
     df = spark.createDataFrame(prompts, "id bigint, text string")
-    got = N.generate(df, table, ["id"], "text", END, 6, min_length, k=1, penalty=penalty, stage_every=2).collect()
-    for r in got:
-        assert r.tokens == plain_greedy(groups, dict(prompts)[r.id].split(), 6, penalty, min_length)
+    for prepared in (None, N.prepare_options(table, 2), N.prepare_options(table, 50)):
+        got = N.generate(df, table, ["id"], "text", END, 6, min_length, k=1, penalty=penalty, stage_every=2, prepared=prepared).collect()
+        for r in got:
+            assert r.tokens == plain_greedy(groups, dict(prompts)[r.id].split(), 6, penalty, min_length)
 
 
 def test_sampled_generation_is_repeatable_and_stays_in_the_nucleus(spark):

@@ -119,6 +119,11 @@ def candidate_lists(df: DataFrame, k: int) -> DataFrame:
     return top_k(df, k).groupBy("ctx").agg(listed.alias("options"))
 
 
+def prepare_options(scores: DataFrame, size: int) -> tuple[DataFrame, int]:
+    """Staged option lists of ``size`` and that size, to share between several calls of ``generate``."""
+    return stage(candidate_lists(scores, size).withColumnRenamed("ctx", "_on"), "options"), size
+
+
 def _pick(options: Column, history: Column, allow_end: Column, end_token: str, k: int, penalty: float,
           do_sample: bool, heat: float, p: float, u: Column) -> Column:
     """Next token of one row from its option list."""
@@ -159,13 +164,14 @@ def _pick(options: Column, history: Column, allow_end: Column, end_token: str, k
 def generate(
     prompts: DataFrame, scores: DataFrame, keys: Sequence[str], text: str, end_token: str, max_new_tokens: int = 8,
     min_length: int = 0, do_sample: bool = False, heat: float = 1.0, k: int = 50, p: float = 1.0,
-    penalty: float = 1.0, seed: int = 42, stage_every: int = 8,
+    penalty: float = 1.0, seed: int = 42, stage_every: int = 8, prepared: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """Continue all prompts at once: rows (keys..., tokens), up to the end marker.
 
     Every step joins the last token with its option list. Options are cut to a size that
     cannot change the result: the penalty can push out at most the tokens already seen, so
-    k + (longest history) + 1 options always hold the k best that remain.
+    k + (longest history) + 1 options always hold the k best that remain. ``prepared`` lists
+    are used when they are that long, otherwise longer ones are built from ``scores``.
     """
     if penalty < 1.0:
         raise ValueError("a penalty below 1 would raise options outside the list")
@@ -175,7 +181,7 @@ def generate(
     wanted = k + 1
     if penalty > 1.0:
         wanted += (start.agg(F.max(F.size("_seen"))).first()[0] or 0) + max_new_tokens
-    options = stage(candidate_lists(scores, wanted).withColumnRenamed("ctx", "_on"), "options")
+    options = prepared[0] if prepared and prepared[1] >= wanted else prepare_options(scores, wanted)[0]
     state = start
     for step in range(max_new_tokens):
         u = uniform(seed, *keys, F.lit(step))

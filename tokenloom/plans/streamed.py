@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tokenloom.operators.candidates import generate
+from tokenloom.operators.candidates import generate, prepare_options
 from tokenloom.plans.decoding import END, GREEDY_PICK, PENALTY, STEPS, generate_sql, scores
 from tokenloom.plans.prompting import SUPPORT_SQL
 from tokenloom.plans.registry import PAIR_KEY, joined, query, vocabulary
@@ -14,6 +14,9 @@ from tokenloom.sources.readers import read_table
 from tokenloom.streaming import streams
 
 
+OPTIONS = 512
+
+
 def stream_of(spark, folder, name):
     return streams.stream_table(spark, folder, name, read_table(spark, folder, name).schema)
 
@@ -31,12 +34,16 @@ def stream_prompts(spark, folder):
 
 @query("stream_answers", generate_sql(GREEDY_PICK, "(SELECT conv_id, turn, text FROM conversations WHERE role = 'user')", "text"))
 def stream_answers(spark, folder):
-    """Question in, answer out: the scores are built once, each arriving batch is continued."""
+    """Question in, answer out: scores and options are built once, each arriving batch is continued.
+
+    A batch with a longer history than the options allow builds its own, so the answers are exact.
+    """
     asked = stream_of(spark, folder, "conversations").where("role = 'user'").select(*PAIR_KEY, "text")
     table = stage(scores(spark, folder, end_token=END), "scores")
+    options = prepare_options(table, OPTIONS)
 
     def answer(batch):
-        done = generate(batch, table, PAIR_KEY, "text", END, STEPS, penalty=PENALTY, k=40)
+        done = generate(batch, table, PAIR_KEY, "text", END, STEPS, penalty=PENALTY, k=40, prepared=options)
         return done.select(*PAIR_KEY, joined("tokens").alias("completion"))
 
     return streams.run_with(asked, new_path(spark, "stream-answers"), answer, "conv_id bigint, turn bigint, completion string")
