@@ -134,9 +134,9 @@ def _pick(options: Column, history: Column, allow_end: Column, end_token: str, k
             (-penalized(o["score"], F.array_contains(history, o["token"]), penalty)).alias("neg"), o["token"].alias("token")
         ),
     )
-    ranked = F.slice(F.sort_array(scored), 1, k)
     if not do_sample:
-        return F.get(ranked, 0)["token"]
+        return F.array_min(scored)["token"]
+    ranked = F.slice(F.sort_array(scored), 1, k)
 
     def weigh(rows: Column) -> Column:
         best = F.get(rows, 0)["neg"]

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tokenloom.functions.order import ordkey
-from tokenloom.session import new_path, spread, stage
+from tokenloom.session import new_path, stage
 from tokenloom.sources.writers import SnapshotStore
 
 # Up to this many steps every task may write a file of each step.
@@ -72,7 +72,7 @@ def sgd_linear(
         _, first, weights = found
     if first >= max_epochs:
         return weights
-    rows = spread(stage(df.select(*dict.fromkeys([*features, target, *keys])), "fit"))
+    rows = stage(df.select(*dict.fromkeys([*features, target, *keys])), "fit")
     for epoch in range(first, max_epochs):
         dealt = rows
         if steps_per_epoch > 1:
@@ -102,7 +102,7 @@ def train_with_eval(
 ) -> DataFrame:
     """Metrics table (step, valid_loss): evaluated every ``eval_every`` steps up to ``max_steps``."""
     rows: list[tuple[int, float]] = []
-    valid = spread(stage(valid.select(*features, target), "valid"))
+    valid = stage(valid.select(*features, target), "valid")
 
     def evaluate(step: int, weights: list[float]) -> None:
         if step % eval_every == 0:

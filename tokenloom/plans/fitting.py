@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tokenloom.functions.order import ordkey
 from tokenloom.operators import training as T
 from tokenloom.plans.registry import SEED, embeddings, query, r6, sql_r6
-from tokenloom.session import new_path
+from tokenloom.session import new_path, spread
 from tokenloom.sources.readers import read_table
 from tokenloom.sources.writers import SnapshotStore
 
@@ -21,7 +21,7 @@ WEIGHTS = [f"w{i}" for i in range(len(FEATURES) + 1)]
 
 def fit_rows(spark, folder):
     """Scaled regression rows of the line items and the columns that identify a row."""
-    items = read_table(spark, folder, "lineitem")
+    items = spread(read_table(spark, folder, "lineitem"), *ROW_KEY)
     rows = items.select(
         *ROW_KEY,
         (F.col("l_quantity") / 50.0).alias("x1"),

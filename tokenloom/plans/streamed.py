@@ -9,7 +9,7 @@ from tokenloom.plans.decoding import END, GREEDY_PICK, PENALTY, STEPS, generate_
 from tokenloom.plans.prompting import SUPPORT_SQL
 from tokenloom.plans.registry import PAIR_KEY, joined, query, vocabulary
 from tokenloom.plans.tokenizing import DOC_IDS
-from tokenloom.session import new_path, stage
+from tokenloom.session import new_path, spread, stage
 from tokenloom.sources.readers import read_table
 from tokenloom.streaming import streams
 
@@ -43,7 +43,7 @@ def stream_answers(spark, folder):
     options = prepare_options(table, OPTIONS)
 
     def answer(batch):
-        done = generate(batch, table, PAIR_KEY, "text", END, STEPS, penalty=PENALTY, k=40, prepared=options)
+        done = generate(spread(batch, *PAIR_KEY), table, PAIR_KEY, "text", END, STEPS, penalty=PENALTY, k=40, prepared=options)
         return done.select(*PAIR_KEY, joined("tokens").alias("completion"))
 
     return streams.run_with(asked, new_path(spark, "stream-answers"), answer, "conv_id bigint, turn bigint, completion string")
