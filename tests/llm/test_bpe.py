@@ -33,6 +33,8 @@ def test_ids_equal_the_library_and_come_back(spark, library):
     got = bpe.decode(bpe.encode(frame, PATH, PATTERN), PATH, PATTERN).collect()
     want = sorted((str(r[0]), tuple(library.encode_ordinary(r[1] or "")), (r[1] or "").encode()) for r in rows)
     assert sorted((str(r.doc_id), tuple(ids_of(r.ids)), bytes(r.raw)) for r in got) == want
+    both = bpe.encode(frame, PATH, PATTERN, chunk_chars=100, overlap_chars=20, decoded=True).collect()
+    assert sorted((str(r.doc_id), tuple(ids_of(r.ids)), bytes(r.raw)) for r in both) == want
 
 
 def test_chunks_are_stitched(spark, library):

@@ -34,7 +34,7 @@ OVERLAP_CHARS = 1_024
 #: A boundary this near to the end of a cut text may move when more text follows.
 UNSURE_CHARS = 4
 #: Distinct pieces whose ids a worker keeps; beyond it starts anew, which bounds its memory.
-CACHED_PIECES = 400_000
+CACHED_PIECES = 150_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -153,16 +153,25 @@ class Codec:
 IDS = pa.binary()
 
 
-def _encode_whole(path: str, pattern: str):
+def _encode_whole(path: str, pattern: str, decoded: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
         for batch in small_batches(batches, "text"):
             ids = [codec.encode(text) for text in text_column(batch)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, IDS)], names=[*batch.schema.names[:-1], "ids"])
+            yield _with_ids(batch, ids, codec if decoded else None)
 
     return run
 
 
+def _with_ids(batch: pa.RecordBatch, ids: list[bytes], codec: Codec | None) -> pa.RecordBatch:
+    """The batch with its last column replaced by ids and, given a codec, the bytes they stand for."""
+    arrays, names = [*batch.columns[:-1], pa.array(ids, IDS)], [*batch.schema.names[:-1], "ids"]
+    if codec:
+        arrays.append(pa.array([codec.decode(packed) for packed in ids], IDS))
+        names.append("raw")
+    return pa.RecordBatch.from_arrays(arrays, names=names)
+
+
 def _split_chunks(path: str, pattern: str):
     """Boundaries of every chunk in places of the whole text; unsure ones at a cut end are left out."""
 
@@ -200,25 +209,35 @@ def _encode_between(path: str, pattern: str):
     return run
 
 
-def _join_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        packed = [b"".join(parts) for parts in batch.column("parts").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(packed, IDS)], names=["key", "ids"])
+def _join_ids(path: str, pattern: str, decoded: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = Codec.of(path, pattern) if decoded else None
+        for batch in batches:
+            yield _with_ids(batch, [b"".join(parts) for parts in batch.column("parts").to_pylist()], codec)
+
+    return run
 
 
 def encode(
-    df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS
+    df: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text", chunk_chars: int = CHUNK_CHARS, overlap_chars: int = OVERLAP_CHARS,
+    decoded: bool = False,
 ) -> DataFrame:
-    """Rows (key, ids): the ids of every text as packed little-endian unsigned 32-bit numbers."""
+    """Rows (key, ids): the ids of every text as packed little-endian unsigned 32-bit numbers.
+
+    ``decoded`` adds ``raw``, the bytes that the ids stand for, in the same pass and process.
+    """
     rows = df.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     kind = rows.schema["key"].dataType.simpleString()
     whole = F.length("text") <= chunk_chars + overlap_chars
-    short = rows.where(whole).mapInArrow(_encode_whole(path, pattern), f"key {kind}, ids binary")
-    long = _encode_long(rows.where(~whole), kind, path, pattern, chunk_chars, overlap_chars)
+    schema = f"key {kind}, ids binary" + ", raw binary" * decoded
+    short = rows.where(whole).mapInArrow(_encode_whole(path, pattern, decoded), schema)
+    long = _encode_long(rows.where(~whole), path, pattern, chunk_chars, overlap_chars)
+    long = long.mapInArrow(_join_ids(path, pattern, decoded), schema)
     return short.unionByName(long).withColumnRenamed("key", key)
 
 
-def _encode_long(rows: DataFrame, kind: str, path: str, pattern: str, chunk_chars: int, overlap_chars: int) -> DataFrame:
+def _encode_long(rows: DataFrame, path: str, pattern: str, chunk_chars: int, overlap_chars: int) -> DataFrame:
+    """Rows (key, parts): the packed ids of every chunk of a long text, in order."""
     # The same text has the same ids, so a digest of the text names it; rows find their ids by it again.
     named = rows.withColumn("row", F.sha2("text", 256))
     texts = named.select("row", "text").dropDuplicates(["row"])
@@ -252,7 +271,7 @@ def _encode_long(rows: DataFrame, kind: str, path: str, pattern: str, chunk_char
     good = parts.groupBy("row").agg(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ids"))), lambda x: x["ids"]).alias("parts"))
     bad = texts.join(near.where("bad").select("row").distinct(), "row").mapInArrow(_encode_whole(path, pattern), "row string, ids binary")
     known = good.unionByName(bad.select("row", F.array("ids").alias("parts")))
-    return named.select("key", "row").join(known, "row").select("key", "parts").mapInArrow(_join_ids, f"key {kind}, ids binary")
+    return named.select("key", "row").join(known, "row").select("key", "parts")
 
 
 def decode(df: DataFrame, path: str, pattern: str, ids: str = "ids", out: str = "raw") -> DataFrame:
@@ -279,7 +298,7 @@ def default_vocabulary() -> tuple[str, str]:
 def round_trip(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (key, n_tokens, ids_sha256, decoded_sha256) of every text."""
     path, pattern = default_vocabulary()
-    coded = decode(encode(docs, path, pattern, key, text), path, pattern)
+    coded = encode(docs, path, pattern, key, text, decoded=True)
     return coded.select(
         key, F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("raw", 256).alias("decoded_sha256")
     )
