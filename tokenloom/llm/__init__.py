@@ -1,6 +1,6 @@
 """Operators of a training-data pipeline, with their queries and SQL; nothing else imports this."""
 
-from tokenloom.llm import bpe, decontamination, pii, preferences, quality, sharding, token_counts, toxicity  # noqa: F401
+from tokenloom.llm import bpe, decontamination, near_duplicates, pii, preferences, quality, sharding, token_counts, toxicity  # noqa: F401
 from tokenloom.llm.common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
