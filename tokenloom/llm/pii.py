@@ -278,7 +278,7 @@ SPANS = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32()), ("kind",
 def pseudonymise(df: DataFrame, text: str = "text", key: bytes = DEFAULT_KEY, spans: str | None = None, back: bool = False) -> DataFrame:
     """The rows, all columns, with pseudonyms in the text; ``spans`` names an added column of what was replaced.
 
-    Lengths stay, so spans hold for both texts. ``back`` restores the values.
+    Spans are those of the given text; only addresses (IPv4) may change their length. ``back`` restores the values.
     """
     kinds = "array<struct<begin:int,end:int,kind:string>>"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + (f", `{spans}` {kinds}" if spans else "")
