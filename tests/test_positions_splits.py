@@ -68,6 +68,27 @@ def test_large_samples_match_small_ones(spark, monkeypatch):
     assert sorted(r.id for r in S.take_n(df, ["id"], 25).collect()) == head == list(range(25))
 
 
+def test_large_heads_take_any_order(spark):
+    df = spark.range(2500).selectExpr("id % 7 AS a", "string(id) AS b")
+    got = [tuple(r) for r in S.take_n(df, ["a", "b"], 1001).collect()]
+    assert got == sorted(map(tuple, df.collect()))[:1001]
+    assert len(S.take_n(df, ["b"], 1001).collect()) == 1001
+
+
+def test_null_keys_and_groups_are_placed(spark):
+    df = spark.createDataFrame([(None, "x")] + [(i, None if i % 2 else "x") for i in range(50)], "id bigint, g string")
+    rows = sorted(P.key_positions(df, "id", total="n").collect(), key=lambda r: r.pos)
+    assert [r.pos for r in rows] == list(range(51)) and rows[0].id is None and rows[0].n == 51
+    grouped = P.key_positions(df, "id", group=["g"]).collect()
+    assert sorted(r.pos for r in grouped if r.g is None) == list(range(25)) and len(grouped) == 51
+    assert len(P.key_positions(df.where("id IS NULL"), "id").collect()) == 1
+
+
+def test_split_moves_no_rows(spark):
+    plan = S.split_exact(spark.range(500), ["id"], 100)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_percent_slice_rounds_the_count(spark):
     assert sorted(r.id for r in S.percent_slice(spark.range(130), "id", 5).collect()) == list(range(7))
 

@@ -1,8 +1,11 @@
 import pytest
+import tiktoken
 from pyspark.sql import functions as F
 
 from tokenloom.functions import constants as C
 from tokenloom.functions import prompts as P
+from tokenloom.functions.constants import FULL_PATTERN
+from tokenloom.functions.prompts import strip
 from tokenloom.operators import tokens as T
 
 SENTENCE = "the answer to the ultimate question of life, the universe, and everything is "
@@ -111,16 +114,33 @@ def test_null_text_gives_null_ids(spark, docs):
 def test_byte_pair_round_trip(spark, docs):
     vocab = T.Vocabulary.build(docs, size=12)
     texts = ["hello world!", "ölfass \U0001F600 12345\n\n  x", "", "the cat"]
-    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", T.encode_bpe(F.col("t"), vocab).alias("ids"))
+    df = T.encode_bpe(spark.createDataFrame([(t,) for t in texts], "t string"), ["t"], vocab, "t", "ids")
     rows = df.select("t", "ids", T.decode_bpe(F.col("ids"), vocab).alias("back")).collect()
     assert all(r.t == r.back for r in rows)
+    known = tiktoken.Encoding("own", pat_str=FULL_PATTERN, mergeable_ranks=T.bpe_ranks(vocab), special_tokens={})
+    assert {r.t: r.ids for r in rows} == {t: known.encode_ordinary(t) for t in texts}
     assert len(next(r.ids for r in rows if r.t == "the cat")) < len("the cat")
 
 
 def test_byte_pair_refuses_special_names(spark, docs):
     vocab = T.Vocabulary.build(docs, size=12)
-    with pytest.raises(Exception, match="special token"):
-        spark.range(1).select(T.encode_bpe(F.lit("x <|end_of_text|> y"), vocab)).collect()
+    with pytest.raises(Exception, match="special name"):
+        T.encode_bpe(spark.createDataFrame([(1, "x <|end_of_text|> y")], "id int, text string"), ["id"], vocab).collect()
+
+
+def test_rows_that_share_a_key_are_joined_too(spark, docs, monkeypatch):
+    rows = spark.createDataFrame([(1, "the cat"), (1, "the dog sat"), (None, "a cat")], "doc_id bigint, text string")
+    want = sorted(str(r.input_ids) for r in T.Vocabulary.build(docs, size=12).with_ids(rows, ["doc_id"]).collect())
+    monkeypatch.setattr(T, "MAX_LOCAL_PIECES", 3)
+    vocab = T.Vocabulary.build(docs, size=12)
+    ids = vocab.with_ids(rows, ["doc_id"])
+    assert sorted(str(r.input_ids) for r in ids.collect()) == want
+    assert vocab.with_texts(ids, ["doc_id"]).where("pieces IS NULL").count() == 0
+
+
+def test_unicode_blanks(spark):
+    assert one(spark, strip(F.lit("\u00a0\u3000 x y\u2003"))) == "x y"
+    assert one(spark, T.pretokenize_full(F.lit("mot\u00a0!"))) == ["mot", "\u00a0", "!"]
 
 
 @pytest.mark.parametrize("ids, cutoff, want", [([1, 2], 3, [1, 2, 9]), ([1, 2, 3], 3, [1, 2, 3]), ([1, 9], 5, [1, 9]), ([], 5, [9])])

@@ -5,6 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tokenloom.operators import metrics
 from tokenloom.operators import training as T
 from tokenloom.operators.tokens import Vocabulary, pretokenize
 from tokenloom.sources import readers, views, writers
@@ -37,7 +38,7 @@ def test_manifest_and_blobs(spark, tmp_path):
         (tmp_path / "files" / f"{name}.txt").write_text(name * 3)
     manifest = readers.read_csv_manifest(spark, str(tmp_path / "labels.csv"), "name string, label int")
     blobs = readers.read_blobs(spark, str(tmp_path / "files"))
-    got = readers.join_blobs(blobs, manifest, "name", "content", "label", lambda c: c.cast("string"), lambda c: c + 1)
+    got = readers.join_blobs(blobs, manifest, "name", "content", "label", lambda c: c.cast("string"), lambda c: c + 1, missing="drop")
     assert {(r.name, r["sample"], r.label) for r in got.collect()} == {("a.txt", "aaa", 2), ("b.txt", "bbb", 1)}
 
 
@@ -142,3 +143,34 @@ def test_streams_read_every_file_once(spark, tmp_path):
     assert run().count() == 30
     table.withColumn("doc_id", F.col("doc_id") + 100).write.mode("append").parquet(f"{folder}/docs.parquet")
     assert run().count() == 60
+
+
+def test_missing_blob(spark):
+    blobs = spark.createDataFrame([("a", "x")], "name string, content string")
+    manifest = spark.createDataFrame([("a", 1), ("b", 2)], "name string, label int")
+    with pytest.raises(Exception, match="no blob for b"):
+        readers.join_blobs(blobs, manifest, "name", "content", "label").collect()
+    assert [r.name for r in readers.join_blobs(blobs, manifest, "name", "content", "label", missing="drop").collect()] == ["a"]
+
+
+def test_pairs_over_gaps_and_buckets(spark):
+    turns = [(1, t, "user" if i % 2 == 0 else "assistant", f"t{t}") for i, t in enumerate([0, 2, 3, 9, 10, 50, 300, 301])]
+    chat = spark.createDataFrame([*turns, (2, 5, "user", "alone"), (None, 0, "user", "q"), (None, 4, "assistant", "a")], "conv_id int, turn int, role string, text string")
+    for bucket in (1, 2, 7, 1024):
+        got = sorted((r.conv_id or 0, r.question, r.answer) for r in views.question_answer_pairs(chat, bucket).collect())
+        assert got == [(0, "q", "a"), (1, "t0", "t2"), (1, "t10", "t50"), (1, "t3", "t9"), (1, "t300", "t301")]
+
+
+def test_rewritten_files_change_the_fingerprint(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(3).coalesce(1).write.parquet(path)
+    name = next(f for f in os.listdir(path) if f.endswith(".parquet"))
+    first = writers.fingerprint(spark.read.parquet(path), {})
+    os.utime(os.path.join(path, name), (1, 1))
+    assert writers.fingerprint(spark.read.parquet(path), {}) != first
+
+
+def test_groups_without_a_name_have_latencies(spark):
+    df = spark.createDataFrame([("a", 1.0), (None, 2.0), (None, 4.0), ("b", None)], "g string, ms double")
+    got = {r.g: (r.calls, r.mean_ms, r.p50) for r in metrics.latency_stats(df, "g", "ms").collect()}
+    assert got == {"a": (1, 1.0, 1.0), None: (2, 3.0, 3.0), "b": (1, None, None)}

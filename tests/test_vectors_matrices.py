@@ -165,10 +165,26 @@ def test_score_matrix_is_the_mean_of_all_pairs(spark):
     rng = np.random.default_rng(5)
     x, g = rng.normal(size=(30, 4)), np.arange(30) % 3
     df = spark.createDataFrame([(int(g[i]), x[i].tolist()) for i in range(30)], "g int, vec array<double>")
-    table = {r.g: r for r in MX.score_matrix(df, "vec", "g", range(3)).collect()}
+    df = df.unionByName(spark.createDataFrame([(12, [1.0, 0.0, 0.0, 0.0])], df.schema))
+    table = {(r.g, r.other): r.score for r in MX.score_matrix(df, "vec", "g").collect()}
+    assert len(table) == 16 and math.isclose(table[12, 12], 1.0)
     for a in range(3):
         for b in range(3):
-            assert math.isclose(table[a][str(b)], (x[g == a] @ x[g == b].T).mean(), abs_tol=1e-12)
+            assert math.isclose(table[a, b], (x[g == a] @ x[g == b].T).mean(), abs_tol=1e-12)
+
+
+def test_ignored_and_impossible_labels(spark):
+    logits = F.array(*[F.lit(float(i)) for i in range(120)])
+    assert one(spark, V.cross_entropy(logits, F.lit(-100))) is None
+    assert one(spark, V.negative_log_likelihood(V.softmax(logits), F.lit(-100))) is None
+    for label in (-1, 120):
+        with pytest.raises(Exception, match="no such class"):
+            one(spark, V.cross_entropy(logits, F.lit(label)))
+
+
+def test_rotation_refuses_another_size(spark):
+    with pytest.raises(Exception, match="expected a vector of 8 values"):
+        one(spark, V.rope(F.array(*[F.lit(1.0)] * 10), F.lit(1), 8))
 
 
 def test_gated_score(spark):

@@ -56,8 +56,8 @@ def prompt_turns(turns: Column) -> Column:
 
 
 def strip(text: Column) -> Column:
-    """Remove white space of every kind from both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    """Remove white space of every kind, no-break and wide blanks too, from both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def extract_response(output: Column, marker: str = C.RESPONSE_MARKER) -> Column:

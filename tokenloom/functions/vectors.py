@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tokenloom.functions.constants import NF4_CODES, NORM_EPS, ROPE_THETA
+from tokenloom.functions.constants import IGNORE_LABEL, NF4_CODES, NORM_EPS, ROPE_THETA
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -81,12 +81,19 @@ def log_sum_exp(vec: Column) -> Column:
     return let(F.array_max(vec), lambda top: top + F.log(total(F.transform(vec, lambda x: F.exp(x - top)))))
 
 
+def at_label(values: Column, label: Column) -> Column:
+    """The value of a class; NULL for the ignored label, an error for any other number that is no class."""
+    wrong = F.raise_error(F.concat(F.lit("no such class: "), label.cast("string")))
+    outside = (label < 0) | (label >= F.size(values))
+    return F.when(label == IGNORE_LABEL, F.lit(None)).when(outside, wrong).otherwise(F.get(values, label))
+
+
 def cross_entropy(logits: Column, label: Column) -> Column:
-    return log_sum_exp(logits) - F.element_at(logits, label + F.lit(1))
+    return log_sum_exp(logits) - at_label(logits, label)
 
 
 def negative_log_likelihood(probabilities: Column, label: Column) -> Column:
-    return -F.log(F.element_at(probabilities, label + F.lit(1)))
+    return -F.log(at_label(probabilities, label))
 
 
 def squared_error(a: Column, b: Column) -> Column:
@@ -105,7 +112,7 @@ def rotation_frequencies(size: int, theta: float = ROPE_THETA) -> list[float]:
 
 
 def rope(vec: Column, pos: Column, size: int, theta: float = ROPE_THETA) -> Column:
-    """Rotate consecutive pairs of ``vec`` by ``pos`` times the pair's frequency."""
+    """Rotate consecutive pairs of ``vec`` by ``pos`` times the pair's frequency; another size than ``size`` is an error."""
     freqs = literal_vector(rotation_frequencies(size, theta))
 
     def rotate(freq: Column, j: Column) -> Column:
@@ -113,7 +120,8 @@ def rope(vec: Column, pos: Column, size: int, theta: float = ROPE_THETA) -> Colu
         cos, sin = F.cos(pos * freq), F.sin(pos * freq)
         return F.array(re * cos - im * sin, re * sin + im * cos)
 
-    return F.flatten(F.transform(freqs, rotate))
+    wrong = F.raise_error(F.concat(F.lit(f"expected a vector of {size} values, got "), F.size(vec).cast("string")))
+    return F.when(F.size(vec) != size, wrong).otherwise(F.flatten(F.transform(freqs, rotate)))
 
 
 def broadcast_row(value: Column, row: Column, op: Callable[[Column, Column], Column]) -> Column:

@@ -169,17 +169,15 @@ def drop_axis(grid: DataFrame, name: str) -> DataFrame:
     return kept.drop(name)
 
 
-def score_matrix(df: DataFrame, vec: str, by: str, values: Sequence[int]) -> DataFrame:
-    """Square table of mean dot products between groups: one row per group, one column per value.
+def score_matrix(df: DataFrame, vec: str, by: str) -> DataFrame:
+    """Mean dot products between groups as cells (``by``, other, score), every pair of groups that there is.
 
     The mean over all pairs of rows equals the dot product of the group means, so no pair
     of rows is formed.
     """
-    centers = mean_vectors(df, vec, by)
-    spread = centers.where(F.col(by).isin(list(values))).select(by, F.posexplode(vec).alias("k", "x"))
-    other = spread.select(F.col(by).alias("_other"), "k", F.col("x").alias("y"))
-    scores = spread.join(other, "k").groupBy(by, "_other").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
-    return scores.groupBy(by).pivot("_other", list(values)).agg(F.first("score"))
+    spread = mean_vectors(df, vec, by).select(by, F.posexplode(vec).alias("k", "x"))
+    other = spread.select(F.col(by).alias("other"), "k", F.col("x").alias("y"))
+    return spread.join(other, "k").groupBy(by, "other").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
 
 
 def batch_score(vec: Column, w1: np.ndarray, w3: np.ndarray, w2: np.ndarray) -> Column:

@@ -71,7 +71,8 @@ def latency_stats(df: DataFrame, by: str, ms: str, shares: Sequence[float] = (0.
     spread = exact_percentiles(df, by, ms, shares).groupBy(by).agg(
         *[F.max(F.when(F.col("share") == s, F.col("percentile"))).alias(n) for s, n in names.items()]
     )
-    return basic.join(spread, by)
+    spread = spread.withColumnRenamed(by, "_group")
+    return basic.join(spread, F.col(by).eqNullSafe(F.col("_group")), "left").drop("_group")
 
 
 def normalized(text: Column) -> Column:

@@ -35,6 +35,7 @@ def positions(
 
     ``bucket`` must not fall when ``order`` rises, and ``order`` must be unique within
     a group. ``total`` names a column for the row count (or whole weight) of the group.
+    NULL is a group, a bucket and a key like any other and comes first.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     group = list(group)
@@ -49,12 +50,16 @@ def positions(
     )
     # Without groups there are at most 65,536 (hash) or MAX_KEY_BUCKETS (key) starts, so the
     # broadcast is bounded. Group counts have no bound: Spark chooses the join.
+    starts = starts.toDF(*[f"_at_{name}" if name in (*group, "_bucket") else name for name in starts.columns])
     starts = starts if group else F.broadcast(starts)
+    same = F.lit(True)
+    for name in [*group, "_bucket"]:
+        same = same & F.col(name).eqNullSafe(F.col(f"_at_{name}"))
     inside = Window.partitionBy(*group, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = rows.join(starts, [*group, "_bucket"]).withColumn(
+    placed = rows.join(starts, same).withColumn(
         out, F.col("_start") + F.sum("_weight").over(inside) - F.col("_weight")
     )
-    return placed.drop("_bucket", "_start", "_weight")
+    return placed.drop("_bucket", "_start", "_weight", *[f"_at_{name}" for name in [*group, "_bucket"]])
 
 
 def shuffled_positions(
@@ -76,7 +81,7 @@ def with_key_bucket(df: DataFrame, key: str, out: str = "_range") -> DataFrame:
 
     The edges only have to rise with the key, so approximate ones still give exact positions.
     """
-    keys = df.select(F.col(key).cast("double").alias("_number"))
+    keys = df.select(F.col(key).cast("double").alias("_number")).where("_number IS NOT NULL AND NOT isnan(_number)")
     cores = df.sparkSession.sparkContext.defaultParallelism
     count = keys.count()
     buckets = min(MAX_KEY_BUCKETS, max(cores, count // BUCKET_ROWS))
@@ -85,11 +90,13 @@ def with_key_bucket(df: DataFrame, key: str, out: str = "_range") -> DataFrame:
         keys = keys.sample(EDGE_ROWS / count, seed=1)
     edges = sorted(set(keys.approxQuantile("_number", steps, 1.0 / (4 * buckets)))) if steps else []
     if not edges:
-        return df.withColumn(out, F.lit(0))
+        return df.withColumn(out, F.when(F.col(key).isNull(), F.lit(-1)).otherwise(F.lit(0)))
     number = df.withColumn("_number", F.col(key).cast("double"))
     splits = [float("-inf"), *edges, float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket_number").transform(number)
-    return bucketed.withColumn(out, F.col("_bucket_number").cast("int")).drop("_number", "_bucket_number")
+    bucketed = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket_number", handleInvalid="keep").transform(number)
+    # Nothing is before NULL and nothing after NaN, as in Spark's own order.
+    place = F.when(F.col("_number").isNull(), F.lit(-1)).otherwise(F.col("_bucket_number").cast("int"))
+    return bucketed.withColumn(out, place).drop("_number", "_bucket_number")
 
 
 def key_positions(

@@ -17,16 +17,18 @@ TOP_N_ROWS = 1_000
 def split_exact(df: DataFrame, keys: Sequence[str], valid_rows: int = 100, seed: int = 42) -> DataFrame:
     """Add ``split``: exactly ``valid_rows`` random rows are ``valid``, the rest ``train``.
 
-    Running it fails when the table has no more than ``valid_rows`` rows.
+    A table with no more than ``valid_rows`` rows is an error. One small top-n over the keys finds the
+    border row; after that the split is a comparison, and the rows themselves are not shuffled.
     """
-    placed = shuffled_positions(df, keys, seed, "_pos", "_n")
-    too_few = F.raise_error(F.concat(F.lit(f"cannot take {valid_rows} validation rows from "), F.col("_n").cast("string"), F.lit(" rows")))
-    split = (
-        F.when(F.col("_n") <= valid_rows, too_few)
-        .when(F.col("_pos") < valid_rows, F.lit("valid"))
-        .otherwise(F.lit("train"))
-    )
-    return placed.withColumn("split", split).drop("_pos", "_n")
+    place = F.struct(ordkey(seed, *keys).alias("_ordkey"), *keys)
+    head = df.select(place.alias("_place")).orderBy("_place").limit(valid_rows + 1)
+    border = head.agg(F.count("*").alias("n"), F.max("_place").alias("first_train")).select("n", "first_train.*").first()
+    if border.n <= valid_rows:
+        raise ValueError(f"cannot take {valid_rows} validation rows from {border.n} rows")
+    # The border row as a constant of the same types.
+    kinds = df.select(place.alias("p")).schema["p"].dataType
+    values = F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(border[1:], kinds.fields)])
+    return df.withColumn("split", F.when(place < values, F.lit("valid")).otherwise(F.lit("train")))
 
 
 def shuffle(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
@@ -42,12 +44,8 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> Data
 
 
 def take_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows in ``order`` (a single numeric key when ``n`` is large)."""
-    if n <= TOP_N_ROWS:
-        return df.orderBy(*order).limit(n)
-    if len(order) != 1:
-        raise ValueError("a large head needs a single numeric key")
-    return key_positions(df, order[0], "_pos").where(F.col("_pos") < n).drop("_pos")
+    """First ``n`` rows in ``order``, whatever ``n`` and the columns are."""
+    return df.orderBy(*order).limit(n)
 
 
 def percent_slice(df: DataFrame, key: str, percent: float) -> DataFrame:

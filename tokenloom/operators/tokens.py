@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.constants import FULL_PATTERN, IGNORE_LABEL, SIMPLE_PATTERN, special_names
 from tokenloom.operators.joins import lookup_join, salted_join
+from tokenloom.session import stage
 
 # Largest vocabulary that travels to the executors as a value; a larger one is joined.
 MAX_LOCAL_PIECES = 1_000_000
@@ -23,8 +24,8 @@ def pretokenize(text: str | Column, pattern: str = SIMPLE_PATTERN) -> Column:
 
 
 def pretokenize_full(text: str | Column) -> Column:
-    """Pieces that join back to the text."""
-    return pretokenize(text, FULL_PATTERN)
+    """Pieces that join back to the text; white space is what Unicode calls so."""
+    return pretokenize(text, "(?U)" + FULL_PATTERN)
 
 
 def build_vocab(df: DataFrame, text: str = "text", size: int = 8000) -> DataFrame:
@@ -53,15 +54,14 @@ class Vocabulary:
 
     @classmethod
     def build(cls, df: DataFrame, text: str = "text", size: int = 8000) -> Vocabulary:
-        return cls(build_vocab(df, text, size))
+        return cls(stage(build_vocab(df, text, size), "vocabulary"))
 
     @cached_property
     def _rows(self) -> tuple[list[str], list[str]] | None:
         """(pieces, specials) in id order, or None when the table is too large to ship."""
-        rows = self.table.limit(MAX_LOCAL_PIECES + 1).collect()
-        if len(rows) > MAX_LOCAL_PIECES:
+        if self.table.count() > MAX_LOCAL_PIECES:
             return None
-        rows.sort(key=lambda r: r.id)
+        rows = sorted(self.table.collect(), key=lambda r: r.id)
         return [r.piece for r in rows if not r.is_special], [r.piece for r in rows if r.is_special]
 
     @cached_property
@@ -132,10 +132,10 @@ class Vocabulary:
         plain = self.table.where(~F.col("is_special")).select("piece", "id")
         distinct = df.select(*key, F.explode(F.array_distinct(pieces)).alias("piece"))
         found = salted_join(distinct, plain, ["piece"], key)
-        pairs = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("piece", "id"))).alias("_map"))
+        pairs = found.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("piece", "id"))).alias("_map"))
         unk = F.lit(self.unk_id)
         ids = F.transform(pieces, lambda p: F.coalesce(F.try_element_at(F.col("_map"), p), unk).cast("int"))
-        return df.join(pairs, list(key), "left").withColumn(out, ids).drop("_map")
+        return _join_maps(df, pairs, key).withColumn(out, ids).drop("_map")
 
     def with_texts(self, df: DataFrame, key: Sequence[str], ids: str = "input_ids", out: str = "pieces", skip_special: bool = False) -> DataFrame:
         """Add the pieces of an id list, by value or, for a larger vocabulary, by a join."""
@@ -147,10 +147,19 @@ class Vocabulary:
         """Pieces by a join on the id, the counterpart of ``join_ids``."""
         distinct = df.select(*key, F.explode(F.array_distinct(ids)).alias("id"))
         found = salted_join(distinct, self.table.select("id", "piece"), ["id"], key)
-        names = found.groupBy(*key).agg(F.map_from_entries(F.collect_list(F.struct("id", "piece"))).alias("_map"))
+        names = found.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("id", "piece"))).alias("_map"))
         shown = F.filter(ids, lambda i: i < F.lit(self.size)) if skip_special else F.col(ids)
         texts = F.transform(shown, lambda i: F.try_element_at(F.col("_map"), i))
-        return df.join(names, list(key), "left").withColumn(out, texts).drop("_map")
+        return _join_maps(df, names, key).withColumn(out, texts).drop("_map")
+
+
+def _join_maps(df: DataFrame, maps: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Rows with the map of their key; rows that share a key share its map, and NULL is a key."""
+    maps = maps.toDF(*[f"_of_{name}" if name in key else name for name in maps.columns])
+    same = F.lit(True)
+    for name in key:
+        same = same & F.col(name).eqNullSafe(F.col(f"_of_{name}"))
+    return df.join(maps, same, "left").drop(*[f"_of_{name}" for name in key])
 
 
 def _relist(shape: pa.Array, values: pa.Array) -> pa.Array:
@@ -209,52 +218,63 @@ def tokenize_pairs(
     return rows.drop("_answered", "_prompt_len")
 
 
-def encode_bpe(text: Column, vocab: Vocabulary) -> Column:
-    """Byte-pair ids of a text: 256 bytes, then the vocabulary's pieces, special names refused."""
-    make = _encoding_factory(vocab)
+def bpe_ranks(vocab: Vocabulary) -> dict[bytes, int]:
+    """Ranks of a byte-pair encoding: 256 bytes, then the vocabulary's pieces."""
+    ranks = {bytes([b]): b for b in range(256)}
+    for piece in vocab.pieces:
+        ranks.setdefault(piece.encode("utf-8"), len(ranks))
+    return ranks
+
 
-    @F.arrow_udf("array<int>")
-    def encode(column: pa.Array) -> pa.Array:
-        encoding = make()
-        return pa.array([None if t is None else encoding.encode(t) for t in column.to_pylist()], pa.list_(pa.int32()))
+def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Merge the adjacent pair of the lowest rank, first from the left, until no pair is in the ranks."""
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 1 and piece not in ranks:
+        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks)))
+        if parts[best] + parts[best + 1] not in ranks:
+            break
+        parts[best : best + 2] = [parts[best] + parts[best + 1]]
+    return [ranks[piece]] if piece in ranks else [ranks[part] for part in parts]
 
-    return encode(text)
+
+def encode_bpe(df: DataFrame, key: Sequence[str], vocab: Vocabulary, text: str = "text", out: str = "input_ids") -> DataFrame:
+    """Add byte-pair ids: each distinct piece of the table is merged once, and rows find their pieces by a salted join.
+
+    A text that holds a special name is an error.
+    """
+    ranks, names = bpe_ranks(vocab), [F.contains(F.col(text), F.lit(name)) for name in special_names()]
+    pieces = pretokenize_full(text)
+    distinct = df.select(*key, F.explode(F.array_distinct(pieces)).alias("piece"))
+
+    def run(batches):
+        for batch in batches:
+            ids = [merge_pairs(piece.encode("utf-8"), ranks) for piece in batch.column("piece").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(ids, pa.list_(pa.int32()))], names=["piece", "ids"])
+
+    merged = stage(distinct.select("piece").distinct().mapInArrow(run, "piece string, ids array<int>"), "merged-pieces")
+    found = salted_join(distinct, merged, ["piece"], key)
+    maps = found.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("piece", "ids"))).alias("_map"))
+    joined = _join_maps(df, maps, key)
+    ids = F.flatten(F.transform(pieces, lambda p: F.try_element_at(F.col("_map"), p)))
+    refused = F.lit(False)
+    for name in names:
+        refused = refused | name
+    refused = F.when(refused, F.raise_error(F.lit("a special name stands in the text"))).otherwise(ids)
+    return joined.withColumn(out, refused).drop("_map")
 
 
 def decode_bpe(ids: Column, vocab: Vocabulary) -> Column:
-    make = _encoding_factory(vocab)
+    """Text of byte-pair ids: the bytes of all ids, joined."""
+    token = {rank: piece for piece, rank in bpe_ranks(vocab).items()}
 
     @F.arrow_udf("string")
     def decode(column: pa.Array) -> pa.Array:
-        encoding = make()
-        return pa.array([None if i is None else encoding.decode(i) for i in column.to_pylist()], pa.string())
+        raw = [None if i is None else b"".join(map(token.__getitem__, i)).decode("utf-8", "replace") for i in column.to_pylist()]
+        return pa.array(raw, pa.string())
 
     return decode(ids)
 
 
-def _encoding_factory(vocab: Vocabulary):
-    """A function that builds the byte-pair encoding once per Python worker."""
-    pieces, specials, pattern = vocab.pieces, special_names(), FULL_PATTERN
-    cache: dict = {}
-
-    def make():
-        if "encoding" not in cache:
-            import tiktoken
-
-            ranks = {bytes([b]): b for b in range(256)}
-            for piece in pieces:
-                ranks.setdefault(piece.encode("utf-8"), len(ranks))
-            cache["encoding"] = tiktoken.Encoding(
-                name="ranked-pieces",
-                pat_str=pattern,
-                mergeable_ranks=ranks,
-                special_tokens={name: len(ranks) + i for i, name in enumerate(specials)},
-            )
-        return cache["encoding"]
-
-    return make
-
-
 def embed_tokens(df: DataFrame, table: DataFrame, key: Sequence[str], ids: str = "input_ids") -> DataFrame:
     """Vector of every id: rows (key, pos, id, vec). ``table`` is (id, vec).
 

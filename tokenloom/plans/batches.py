@@ -67,44 +67,43 @@ PROMPT_IDS = f"""{PAIRS_SQL}, {VOCAB_SQL},
 asked AS MATERIALIZED (SELECT conv_id, turn, {BY_CONTEXT_SQL} AS prompt FROM pairs), {ids_sql('ids', 'asked', 'conv_id, turn', 'prompt')}"""
 
 
-def prompt_ids(spark, folder, cutoff):
+def prompt_ids(spark, folder, cutoff: int | None = None):
+    """Ids of the prompts, whole unless a cutoff is given."""
     vocab = vocabulary(spark, folder)
     rows = pairs(spark, folder).withColumn("prompt", prompt_by_context(F.col("question"), F.col("context")))
-    rows = vocab.with_ids(rows, PAIR_KEY, "prompt").withColumn("input_ids", truncate(F.col("input_ids"), cutoff))
+    rows = vocab.with_ids(rows, PAIR_KEY, "prompt")
+    if cutoff is not None:
+        rows = rows.withColumn("input_ids", truncate(F.col("input_ids"), cutoff))
     return vocab, rows.select(*PAIR_KEY, "input_ids", attention_mask(F.col("input_ids")).alias("attention_mask"))
 
 
-LONGEST = 128
-
-
 @query(
     "pad_longest",
     f"""WITH {PROMPT_IDS}, {shuffled_sql('o', 'ids', 'conv_id, turn')},
-    cut AS (SELECT conv_id, turn, pos // {SMALL} AS batch_id, ids[1:{LONGEST}] AS ids FROM o),
+    cut AS (SELECT conv_id, turn, pos // {SMALL} AS batch_id, ids FROM o),
     wide AS (SELECT *, len(ids) AS n, max(len(ids)) OVER (PARTITION BY batch_id) AS width FROM cut)
     SELECT conv_id, turn, batch_id, array_to_string(list_concat(ids, list_transform(range(width - n), lambda x: r + 1)), ' ') AS ids,
            n AS mask_sum FROM wide CROSS JOIN base""",
 )
 def pad_longest(spark, folder):
-    vocab, rows = prompt_ids(spark, folder, LONGEST)
+    vocab, rows = prompt_ids(spark, folder)
     batches = B.minibatch(pairs(spark, folder).select(*PAIR_KEY), PAIR_KEY, SMALL, SEED)
     padded = B.pad_batch(rows.join(batches, PAIR_KEY), vocab.eos_id, multiple=1, side="right")
     ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return padded.select(*PAIR_KEY, "batch_id", joined("input_ids").alias("ids"), ones.alias("mask_sum"))
 
 
-FIXED = 160
-
-
 @query(
     "pad_max_length",
-    f"""WITH {PROMPT_IDS}, cut AS (SELECT conv_id, turn, ids[1:{FIXED}] AS ids FROM ids)
-    SELECT conv_id, turn, array_to_string(list_concat(list_transform(range({FIXED} - len(ids)), lambda x: r + 1), ids), ' ') AS ids,
+    f"""WITH {PROMPT_IDS}, cut AS (SELECT conv_id, turn, ids, max(len(ids)) OVER () AS width FROM ids)
+    SELECT conv_id, turn, array_to_string(list_concat(list_transform(range(width - len(ids)), lambda x: r + 1), ids), ' ') AS ids,
            len(ids) AS mask_sum FROM cut CROSS JOIN base""",
 )
 def pad_max_length(spark, folder):
-    vocab, rows = prompt_ids(spark, folder, FIXED)
-    padded = B.pad_to(rows, F.lit(FIXED), vocab.eos_id, side="left")
+    vocab, rows = prompt_ids(spark, folder)
+    rows = stage(rows, "prompt-ids")
+    longest = rows.agg(F.max(F.size("input_ids"))).first()[0] or 0
+    padded = B.pad_to(rows, F.lit(longest), vocab.eos_id, side="left")
     ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return padded.select(*PAIR_KEY, joined("input_ids").alias("ids"), ones.alias("mask_sum"))
 
@@ -217,9 +216,9 @@ def rank_summary(spark, folder):
     return B.rank_summary(shards(spark, folder), 32).withColumn("rank", F.col("rank").cast("bigint"))
 
 
-def training_steps(spark, folder, valid_rows: int = 10) -> DataFrame:
+def training_steps(spark, folder, valid_rows: int = 10, max_steps: int | None = None) -> DataFrame:
     """The whole preparation of a training set: split, render, encode, mask, group by length, pad,
-    and one row per optimizer step with its rows, tokens and share of padding."""
+    and one row per optimizer step with its rows, tokens and share of padding. ``max_steps`` ends it early."""
     train = split_exact(pairs(spark, folder), PAIR_KEY, valid_rows, SEED).where(F.col("split") == "train").drop("split")
     vocab = vocabulary(spark, folder)
     prompt = prompt_by_context(F.col("question"), F.col("context"))
@@ -227,7 +226,9 @@ def training_steps(spark, folder, valid_rows: int = 10) -> DataFrame:
     # The prepared set is written once; the batch passes then read only the columns they need.
     rows = stage(rows.select(*PAIR_KEY, "input_ids", "attention_mask", "labels", F.size("input_ids").alias("len")), "prepared")
     padded = B.pad_batch(B.group_by_length(rows, PAIR_KEY, "len", 2, SEED)).withColumn("width", F.size("input_ids"))
-    steps = padded.withColumn("step", F.floor(F.col("batch_id") / ACCUMULATION)).where(F.col("step") < MAX_STEPS)
+    steps = padded.withColumn("step", F.floor(F.col("batch_id") / ACCUMULATION))
+    if max_steps is not None:
+        steps = steps.where(F.col("step") < max_steps)
     return steps.groupBy("step").agg(
         F.count("*").alias("row_count"),
         F.sum("len").alias("tokens"),
@@ -245,6 +246,6 @@ placed AS (SELECT len, (pos // run_rows) * run_rows + row_number() OVER (PARTITI
 wide AS (SELECT pos, len, (ceil(max(len) OVER (PARTITION BY pos // 2) / 8.0) * 8)::BIGINT AS width FROM placed)
 SELECT pos // 2 // {ACCUMULATION} AS step, count(*) AS row_count, sum(len)::BIGINT AS tokens, sum(width)::BIGINT AS padded_tokens,
        round(1.0 - sum(len)::DOUBLE / sum(width), 6) + 0.0 AS padding_share
-FROM wide WHERE pos // 2 // {ACCUMULATION} < {MAX_STEPS} GROUP BY 1"""
+FROM wide GROUP BY 1"""
 
 query("training_steps", TRAINING_SQL)(training_steps)

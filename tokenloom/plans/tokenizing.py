@@ -63,9 +63,10 @@ def encode(spark, folder):
 
 @query("encode_bpe", "SELECT doc_id, md5(text) AS decoded FROM documents")
 def encode_bpe(spark, folder):
+    """SQL states that the ids decode to the text; a test holds the ids themselves against a known encoder."""
     vocab = vocabulary(spark, folder)
-    ids = documents(spark, folder).select("doc_id", T.encode_bpe(F.col("text"), vocab).alias("ids"))
-    return ids.select("doc_id", F.md5(T.decode_bpe(F.col("ids"), vocab)).alias("decoded"))
+    rows = T.encode_bpe(documents(spark, folder).select("doc_id", "text"), ["doc_id"], vocab)
+    return rows.select("doc_id", F.md5(T.decode_bpe(F.col("input_ids"), vocab)).alias("decoded"))
 
 
 @query(
@@ -131,7 +132,8 @@ def labels(spark, folder):
 )
 def decode(spark, folder):
     vocab, rows = encoded(spark, folder)
-    return rows.select("doc_id", joined(vocab.texts(F.col("input_ids"), skip_special=True)).alias("text"))
+    shown = vocab.with_texts(rows, ["doc_id"], out="pieces", skip_special=True)
+    return shown.select("doc_id", joined("pieces").alias("text"))
 
 
 @query(
@@ -143,7 +145,7 @@ def decode(spark, folder):
 )
 def token_pieces(spark, folder):
     vocab, rows = encoded(spark, folder)
-    shown = rows.select("doc_id", vocab.texts(F.col("input_ids")).alias("p")).where(F.size("p") > 0)
+    shown = vocab.with_texts(rows, ["doc_id"], out="p").where(F.size("p") > 0)
     return shown.select("doc_id", F.size("p").cast("bigint").alias("n"), F.md5(joined("p", "|")).alias("hash"))
 
 
@@ -155,9 +157,7 @@ def token_pieces(spark, folder):
 def strip_prompt_ids(spark, folder):
     vocab = vocabulary(spark, folder)
     rows = pairs(spark, folder)
-    both = rows.select(
-        *PAIR_KEY, vocab.ids(T.pretokenize(open_prompt())).alias("prompt_ids"), vocab.ids(T.pretokenize(answered_prompt())).alias("input_ids")
-    )
+    both = vocab.with_ids(vocab.with_ids(rows, PAIR_KEY, open_prompt(), "prompt_ids"), PAIR_KEY, answered_prompt())
     return both.select(*PAIR_KEY, joined(T.strip_prompt_ids(F.col("input_ids"), F.col("prompt_ids"))).alias("ids"))
 
 

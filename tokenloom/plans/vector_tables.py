@@ -71,7 +71,8 @@ def matmul(spark, folder):
 )
 def broadcast_op(spark, folder):
     rows = embeddings(spark, folder)
-    means = MX.column_means(rows, "vec").orderBy("k").limit(SIZE).collect()
+    # One number per vector position, as many as the vectors are wide.
+    means = sorted(MX.column_means(rows, "vec").collect(), key=lambda r: r.k)
     row = V.literal_vector([m.value for m in means])
     column = rows.select("vec_id", V.mean(F.col("vec")).alias("m"))
     return long_rows(
@@ -280,11 +281,10 @@ def argmax(spark, folder):
 @query(
     "score_matrix",
     f"""WITH {CELLS_SQL}, m AS (SELECT a.label, b.label AS o, sum(a.c * b.c) AS s FROM centers a JOIN centers b ON b.k = a.k GROUP BY a.label, b.label)
-        SELECT label, {', '.join(f"{sql_r6(f'max(s) FILTER (WHERE o = {j})')} AS s{j}" for j in range(10))} FROM m GROUP BY label""",
+        SELECT label, o AS other, {sql_r6('s')} AS score FROM m""",
 )
 def score_matrix(spark, folder):
-    table = MX.score_matrix(embeddings(spark, folder), "vec", "label", range(10))
-    return table.select("label", *[r6(F.col(f"`{j}`")).alias(f"s{j}") for j in range(10)])
+    return MX.score_matrix(embeddings(spark, folder), "vec", "label").withColumn("score", r6("score"))
 
 
 @query(

@@ -50,10 +50,19 @@ def join_blobs(
     blobs: DataFrame, manifest: DataFrame, on: str, blob: str, label: str,
     transform: Callable[[Column], Column] | None = None,
     target_transform: Callable[[Column], Column] | None = None,
+    missing: str = "error",
 ) -> DataFrame:
-    """Samples (key, sample, label): every manifest row with its blob, optionally transformed."""
-    joined = blobs.select(on, blob).join(manifest.select(on, label), on)
-    sample = transform(F.col(blob)) if transform else F.col(blob)
+    """Samples (key, sample, label): every manifest row with its blob, optionally transformed.
+
+    A manifest row without a blob is an error when it is read; ``missing="drop"`` leaves it out.
+    """
+    if missing not in ("error", "drop"):
+        raise ValueError("missing must be 'error' or 'drop'")
+    found = blobs.select(on, F.col(blob).alias("_blob"), F.lit(True).alias("_found"))
+    joined = manifest.select(on, label).join(found, on, "inner" if missing == "drop" else "left")
+    absent = F.raise_error(F.concat(F.lit("no blob for "), F.coalesce(F.col(on).cast("string"), F.lit("NULL"))))
+    value = F.when(F.col("_found").isNull(), absent).otherwise(F.col("_blob"))
+    sample = transform(value) if transform else value
     target = target_transform(F.col(label)) if target_transform else F.col(label)
     return joined.select(on, sample.alias("sample"), target.alias("label"))
 

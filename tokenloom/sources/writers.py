@@ -15,9 +15,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def fingerprint(source: DataFrame, params: dict) -> str:
-    """Short digest of the parameters and of the files the source reads."""
-    facts = {"files": sorted(source.inputFiles()), "params": params}
-    return hashlib.sha256(json.dumps(facts, sort_keys=True, default=str).encode()).hexdigest()[:16]
+    """Short digest of the parameters and of the files the source reads: name, length and time of change."""
+    spark, files = source.sparkSession, []
+    for name in sorted(source.inputFiles()):
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        status = path.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(path)
+        files.append([name, status.getLen(), status.getModificationTime()])
+    return hashlib.sha256(json.dumps({"files": files, "params": params}, sort_keys=True, default=str).encode()).hexdigest()[:16]
 
 
 def materialize_once(spark: SparkSession, source: DataFrame, build, base: str, params: dict) -> DataFrame:
