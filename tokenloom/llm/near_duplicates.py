@@ -7,11 +7,12 @@ chunk, under all ways to leave out ERRORS symbols, and every pair under that dis
 At a similarity of 0.8 a pair shares no key with probability 1e-7. What shares a key is compared by
 size and by the whole signature, and what remains is confirmed on the full sets.
 
-Equal sets are one node. In a key's bucket every node is compared with the bucket's smallest; the
-links found make components, and only where a bucket still holds several components are the pairs
-across them compared too, block against block of bounded size, keeping only those that pass. So
-large groups of copies cost their size, no pair is skipped that could link two components, and no
-bucket is one task.
+Equal sets are one node. In a key's bucket every node is compared with the bucket's centre, the node
+that shares the most keys with others; the links found make components. Where a bucket still holds
+several, every node is compared with the nearest one of another component, and where it then still
+does, all pairs across components are, block against block of bounded size, each pair under one of
+its keys and only those that pass. So large groups of copies cost their size, no pair is skipped
+that could link two components, and no bucket is one task.
 
 Defined results: NULL, empty and blank texts have no shingles and are linked with nothing; a text
 of fewer words than a shingle is one shingle; equal texts, repeated rows and equal ids share a
@@ -41,8 +42,8 @@ SHINGLE = 5
 PERCENT = 80
 CHUNKS, SYMBOLS, ERRORS = 12, 5, 1
 SIGNATURE = CHUNKS * SYMBOLS
-#: Candidates that differ in more symbols are not near: seven standard deviations beyond a similarity of 0.8.
-FAR = 34
+#: Candidates that differ in more symbols are not near: six standard deviations beyond a similarity of 0.8.
+FAR = 30
 #: Nodes of a block of the comparison across components.
 BLOCK = 512
 #: Most node numbers that are broadcast to pick texts from the corpus; more are joined by a shuffle.
@@ -194,26 +195,36 @@ def _confirm(pairs: DataFrame, docs: DataFrame, described: DataFrame, text: str,
     return stage(both.mapInArrow(run, "a bigint, b bigint"), "near-links")
 
 
-def _across(rows: pd.DataFrame, percent: int) -> pd.DataFrame:
-    """Pairs of one bucket's two blocks that lie in different components and may be near."""
-    rows = rows.drop_duplicates("node").sort_values("node")
+def _across(rows: pd.DataFrame, percent: int, nearest: bool) -> pd.DataFrame:
+    """Pairs of one bucket's two blocks that lie in different components and may be near.
+
+    ``nearest`` gives a node's nearest only. Otherwise a pair is given under the first of the keys it shares.
+    """
+    key, rows = int(rows["key"].iloc[0]), rows.drop_duplicates("node").sort_values("node")
     nodes, comps, sizes = rows["node"].to_numpy(), rows["root"].to_numpy(), rows["n"].to_numpy()
     signs = np.frombuffer(b"".join(rows["signature"]), np.uint16).reshape(-1, SIGNATURE)
     names, counts = np.unique(comps, return_counts=True)
+    keys = None if nearest else index_keys(signs).view(np.int64)
     # Members of the largest component need no comparison among themselves.
     found_a, found_b = [], []
     for i in np.flatnonzero(comps != names[counts.argmax()]):
         others = (comps != comps[i]) & (100 * sizes >= percent * sizes[i]) & (100 * sizes[i] >= percent * sizes)
         places = np.flatnonzero(others)
-        places = places[(signs[places] != signs[i]).sum(axis=1) <= FAR]
+        apart = (signs[places] != signs[i]).sum(axis=1)
+        if nearest:
+            places = places[[apart.argmin()]] if len(places) and apart.min() <= FAR else places[:0]
+        else:
+            places = places[apart <= FAR]
+            shared = np.where(keys[places] == keys[i], keys[places], np.iinfo(np.int64).max)
+            places = places[shared.min(axis=1, initial=np.iinfo(np.int64).max) == key]
         found_a.append(np.minimum(nodes[places], nodes[i]))
         found_b.append(np.maximum(nodes[places], nodes[i]))
     empty = np.empty(0, np.int64)
     return pd.DataFrame({"a": np.concatenate([empty, *found_a]), "b": np.concatenate([empty, *found_b])}).drop_duplicates()
 
 
-def _rest(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of one bucket that are in different components; the bucket's smallest is done."""
+def _rest(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of nodes of one bucket that are in different components; the bucket's centre is done."""
     placed = buckets.where("node <> rep").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     several = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).where("low < high")
     open_rows = placed.select("key", "node", "root").join(several.select("key", "members"), "key").join(nodes.select("node", "n", "signature"), "node")
@@ -222,10 +233,18 @@ def _rest(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int)
     open_rows = open_rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     met = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: F.struct(F.least("block", other).alias("i"), F.greatest("block", other).alias("j")))
     dealt = open_rows.select("key", "node", "root", "n", "signature", F.explode(met).alias("pair")).select("key", "pair.i", "pair.j", "node", "root", "n", "signature")
-    found = dealt.groupBy("key", "i", "j").applyInPandas(lambda rows: _across(rows, percent), "a bigint, b bigint")
+    found = dealt.groupBy("key", "i", "j").applyInPandas(lambda rows: _across(rows, percent, nearest), "a bigint, b bigint")
     return found.distinct()
 
 
+def _centred(buckets: DataFrame) -> DataFrame:
+    """Rows (key, node, rep): the buckets with their centre, the node whose keys gather the most nodes."""
+    sizes = buckets.groupBy("key").agg(F.count("*").alias("members"))
+    gathered = buckets.join(sizes, "key").groupBy("node").agg(F.sum("members").alias("gathered"))
+    centres = buckets.join(gathered, "node").groupBy("key").agg(F.max(F.struct("gathered", "node")).alias("centre"))
+    return buckets.join(centres.select("key", F.col("centre.node").alias("rep")), "key")
+
+
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """Rows (key, code, n_shingles, component_id, kept); ``code`` is the xxhash64 of the text."""
     described = describe(docs, key, text, size)
@@ -235,14 +254,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     )
     nodes = stage(nodes.where("one").select("node", "n", "signature"), "near-nodes")
     keys = nodes.select("node", "signature").mapInArrow(_index, "key bigint, node bigint")
-    first = keys.groupBy("key").agg(F.min("node").alias("rep"), F.max("node").alias("top")).where("rep < top").select("key", "rep")
-    buckets = stage(keys.join(first, "key"), "near-buckets")
-    pairs = buckets.where("node <> rep").select(F.col("rep").alias("a"), F.col("node").alias("b")).distinct()
+    shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
+    buckets = stage(_centred(stage(keys.join(shared, "key"), "near-shared")), "near-buckets")
+    pairs = buckets.where("node <> rep").select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
     links = _confirm(_near(pairs, nodes, percent), docs, described, text, size, percent)
     roots = stage(components(links), "near-roots")
-    more = _confirm(_rest(buckets, roots, nodes, percent), docs, described, text, size, percent)
-    if not more.isEmpty():
-        roots = stage(components(roots.where("node <> root").toDF("a", "b").unionByName(more)), "near-roots")
+    for nearest in (True, False):
+        more = stage(_rest(buckets, roots, nodes, percent, nearest), "near-more")
+        if more.isEmpty():
+            break
+        links = _confirm(_near(more, nodes, percent), docs, described, text, size, percent)
+        if not links.isEmpty():
+            roots = stage(components(roots.where("node <> root").toDF("a", "b").unionByName(links)), "near-roots")
     # A text without shingles is a component of its own.
     placed = described.select("key", "code", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     linked = placed.where("root IS NOT NULL")
