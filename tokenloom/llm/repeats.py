@@ -26,7 +26,6 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,32 +163,59 @@ def _ranges(marked: np.ndarray, depth: int) -> list[tuple[int, int]]:
     return [(int(b), int(e) - 1 + depth) for b, e in zip(edges[::2], edges[1::2])]
 
 
-def compare_group(rows: pd.DataFrame, depth: int) -> pd.DataFrame:
-    """Ranges of a small group's unique extents that are repeated in another extent of the group."""
-    rows = rows.drop_duplicates(["extent", "tail"])
-    texts = [np.frombuffer(x, np.uint8) for x in rows["bytes"]]
-    ahead = rows["ahead"].to_numpy()
-    # Aligned at the anchor; what lies outside an extent equals nothing (values from 256 on).
-    left, right = int(ahead.max()), int(max(len(t) - a for t, a in zip(texts, ahead)))
-    table = np.full((len(texts), left + right), 256, np.int16)
-    for row, (text, a) in enumerate(zip(texts, ahead)):
-        table[row, left - a : left - a + len(text)] = text
+def compare_group(rows: list[tuple[bool, int, int, int, np.ndarray]], depth: int) -> list[tuple[int, int, int]]:
+    """Ranges (code, begin, end) of a group's unique extents that are repeated in another extent of the group.
+
+    A row is (unique, code, low, bytes ahead of the anchor, bytes). Two extents are aligned at their anchor; how far
+    they agree to either side gives the windows that they share.
+    """
     found = []
-    for x, (once, code, low) in enumerate(zip(rows["once"], rows["code"], rows["low"])):
+    for x, (once, code, low, ahead, text) in enumerate(rows):
         if not once:
             continue
-        equal = (table == table[x]) & (table[x] < 256)
-        equal[x] = False
-        before, after = equal[:, :left][:, ::-1], equal[:, left:]
-        reach_left = np.where(before.all(axis=1), left, before.argmin(axis=1)) if left else np.zeros(len(texts), int)
-        reach_right = np.where(after.all(axis=1), right, after.argmin(axis=1))
-        begin, last = ahead[x] - np.minimum(reach_left, ahead[x]), ahead[x] + reach_right - depth
-        marked = np.zeros(len(texts[x]) - depth + 2, np.int32)
-        fits = last >= begin
-        np.add.at(marked, begin[fits], 1)
-        np.add.at(marked, last[fits] + 1, -1)
-        found += [(code, low + b, low + e) for b, e in _ranges(np.cumsum(marked)[:-1] > 0, depth)]
-    return pd.DataFrame(found, columns=["code", "begin", "end"])
+        marked = np.zeros(len(text) - depth + 2, np.int32)
+        for y, (_, _, _, other_ahead, other) in enumerate(rows):
+            if x == y:
+                continue
+            left, right = min(ahead, other_ahead), min(len(text) - ahead, len(other) - other_ahead)
+            same = text[ahead - left : ahead + right] == other[other_ahead - left : other_ahead + right]
+            apart = np.flatnonzero(~same)
+            cut = int(np.searchsorted(apart, left))
+            begin = ahead - left + (int(apart[cut - 1]) + 1 if cut else 0)
+            stop = ahead - left + (int(apart[cut]) if cut < len(apart) else left + right)
+            if stop - begin >= depth:
+                marked[begin] += 1
+                marked[stop - depth + 1] -= 1
+        if marked.any():
+            found += [(code, low + b, low + e) for b, e in _ranges(np.cumsum(marked)[:-1] > 0, depth)]
+    return found
+
+
+def _compare(depth: int):
+    """Groups of equal grams, which lie next to each other in a partition, compared one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group: dict[tuple[int, int], tuple] = {}
+        last, found = None, []
+        for batch in small_batches(batches, "bytes"):
+            columns = (batch.column(c).to_pylist() for c in ("gram", "extent", "tail", "once", "code", "low", "ahead", "bytes"))
+            for gram, extent, tail, once, code, low, ahead, raw in zip(*columns):
+                if gram != last:
+                    if len(group) > 1:
+                        found += compare_group(list(group.values()), depth)
+                    group, last = {}, gram
+                group.setdefault((extent, tail), (once, code, low, ahead, np.frombuffer(raw, np.uint8)))
+            yield _range_batch(found)
+            found = []
+        if len(group) > 1:
+            yield _range_batch(compare_group(list(group.values()), depth))
+
+    return run
+
+
+def _range_batch(found: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int32(), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], kind) for k, kind in enumerate(kinds)], names=["code", "begin", "end"])
 
 
 def _windows(depth: int):
@@ -252,7 +278,9 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, gram
         _contexts(depth, gram), "gram bigint, extent bigint, tail int, code bigint, low int, ahead int, once boolean, bytes binary"
     )
     cut = stage(cut.dropDuplicates(["code", "low"]), "repeat-cut").join(targets.select("code", "low", "members"), ["code", "low"])
-    small = cut.where(F.col("members") <= SMALL_GROUP).groupBy("gram").applyInPandas(lambda group: compare_group(group, depth), "code bigint, begin int, end int")
+    # At most SMALL_GROUP extents have a gram here, so no gram is hot; sorted, a group is read in one go.
+    small = cut.where(F.col("members") <= SMALL_GROUP).drop("members").repartition("gram").sortWithinPartitions("gram", "extent", "tail")
+    small = small.mapInArrow(_compare(depth), "code bigint, begin int, end int")
     windows = cut.where(F.col("members") > SMALL_GROUP).select("bytes", "code", "low", "once").mapInArrow(_windows(depth), "window bigint, tail int, code bigint, begin int, once boolean")
     windows = stage(windows, "repeat-windows")
     twice = windows.groupBy("window", "tail").agg(F.count("*").alias("n")).where("n > 1").select("window", "tail")
