@@ -7,9 +7,9 @@ chunk, under all ways to leave out ERRORS symbols, and every pair under that dis
 At a similarity of 0.8 a pair shares no key with probability 1e-7. What shares a key is compared by
 size and by the whole signature, and what remains is confirmed on the full sets.
 
-Equal sets are one node. In a key's bucket every node is compared with the bucket's centre, the node
-that shares the most keys with others; the links found make components. Where a bucket still holds
-several, every node is compared with the nearest one of another component, and where it then still
+Equal sets are one node. A bucket's centre is the node that shares the most keys with others. Every
+node is compared with the greatest centre of its buckets; the links found make components. Then it
+is compared with its other centres that lie in another component. Where a bucket still holds several, every node is compared with the nearest one of another component, and where it then still
 does, all pairs across components are, block against block of bounded size, each pair under one of
 its keys and only those that pass. So large groups of copies cost their size, no pair is skipped
 that could link two components, and no bucket is one task.
@@ -238,11 +238,24 @@ def _rest(buckets: DataFrame, roots: DataFrame, nodes: DataFrame, percent: int,
 
 
 def _centred(buckets: DataFrame) -> DataFrame:
-    """Rows (key, node, rep): the buckets with their centre, the node whose keys gather the most nodes."""
+    """Rows (key, node, rep, gathered): the buckets with their centre, the node whose keys gather the most nodes, and that sum."""
     sizes = buckets.groupBy("key").agg(F.count("*").alias("members"))
     gathered = buckets.join(sizes, "key").groupBy("node").agg(F.sum("members").alias("gathered"))
     centres = buckets.join(gathered, "node").groupBy("key").agg(F.max(F.struct("gathered", "node")).alias("centre"))
-    return buckets.join(centres.select("key", F.col("centre.node").alias("rep")), "key")
+    return buckets.join(centres.select("key", F.col("centre.node").alias("rep"), F.col("centre.gathered").alias("gathered")), "key")
+
+
+def _with_centres(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """Pairs of nodes with centres: each node's greatest centre first, then those in another component."""
+    outer = buckets.where("node <> rep")
+    if roots is None:
+        found = outer.groupBy("node").agg(F.max(F.struct("gathered", "rep")).alias("best")).select("node", F.col("best.rep").alias("rep"))
+    else:
+        found = outer.select("node", "rep").distinct()
+        for end in ("node", "rep"):
+            found = found.join(roots.toDF(end, f"{end}_root"), end, "left").withColumn(f"{end}_root", F.coalesce(f"{end}_root", end))
+        found = found.where("node_root <> rep_root")
+    return found.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -256,12 +269,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     keys = nodes.select("node", "signature").mapInArrow(_index, "key bigint, node bigint")
     shared = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high").select("key")
     buckets = stage(_centred(stage(keys.join(shared, "key"), "near-shared")), "near-buckets")
-    pairs = buckets.where("node <> rep").select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
-    links = _confirm(_near(pairs, nodes, percent), docs, described, text, size, percent)
+    links = _confirm(_near(_with_centres(buckets, None), nodes, percent), docs, described, text, size, percent)
     roots = stage(components(links), "near-roots")
-    for nearest in (True, False):
-        more = stage(_rest(buckets, roots, nodes, percent, nearest), "near-more")
-        if more.isEmpty():
+    for step in ("centres", "nearest", "all"):
+        more = _with_centres(buckets, roots) if step == "centres" else stage(_rest(buckets, roots, nodes, percent, step == "nearest"), "near-more")
+        if step != "centres" and more.isEmpty():
             break
         links = _confirm(_near(more, nodes, percent), docs, described, text, size, percent)
         if not links.isEmpty():
