@@ -82,3 +82,44 @@ def test_query_against_simple_patterns(spark):
         if not values and not re.search(r"\d", text):
             assert after[key].text == text
     assert seen
+
+
+CARD, OTHER, SPACED, BE, FR = "4111111111111111", "5500000000000004", "4111 1111 1111 1111", "BE68539007547034", "+33 1 23 45 67 89"
+
+
+@pytest.mark.parametrize("text,values", [
+    ("7536784127813050 4845168114407329", ["7536784127813050", "4845168114407329"]),
+    ("2353820953013749 4550997810720808", ["2353820953013749", "4550997810720808"]),
+    (f"{CARD} 2025", [CARD]), (f"2025 {CARD}", [CARD]), (f"{CARD} 12/25", [CARD]), (f"{CARD}-{OTHER}", [CARD, OTHER]),
+    (f"{SPACED} 2025", [SPACED]), (f"2025 {SPACED}", [SPACED]), (f"{SPACED} 12/25", [SPACED]), (f"{SPACED} 123", [SPACED]),
+    (f"{SPACED} 5500 0000 0000 0004", [SPACED, "5500 0000 0000 0004"]), (f"3782 822463 10005 {CARD}", ["3782 822463 10005", CARD]),
+    (f"2021-02-28 {SPACED}", ["2021-02-28", SPACED]), (f"123-45-6789 {CARD}", ["123-45-6789", CARD]),
+    (f"{BE} 100 EUR", [BE]), (f"BE68 5390 0754 7034 100 EUR {SPACED}", ["BE68 5390 0754 7034", SPACED]),
+    (f"DE12 {BE} DE89 3704 0044 0532 0130 00", [BE, "DE89 3704 0044 0532 0130 00"]), (f"{BE} {CARD}", [BE, CARD]),
+    (FR, [FR]), ("+33 (0)1 23 45 67 89", ["+33 (0)1 23 45 67 89"]), ("+49 30 12 34 56 78", ["+49 30 12 34 56 78"]), (f"{FR} {FR}", [FR, FR]),
+    (f"{FR} {CARD}", [FR, CARD]), (f"{FR} {SPACED}", [FR, SPACED]), (f"{CARD} {FR}", [CARD, FR]), (f"+{CARD}", [CARD]),
+    ("+4915112345678", ["+4915112345678"]), ("212-555-0100 212-555-0101", ["212-555-0100", "212-555-0101"]), ("1-212-555-0100", ["212-555-0100"]),
+])
+def test_values_beside_digits(text, values):
+    text = f"before {text}, after"
+    masked, spans = P.replace(text)
+    assert [text[b:e] for b, e, _, _ in spans] == values
+    assert not [v for v in values if v in masked]
+    assert P.replace(masked, back=True)[0] == text
+
+
+def test_equal_cards_stay_linked():
+    alone = P.replace(CARD)[0]
+    for text in (f"{CARD} 2025", f"2025 {CARD}", f"{CARD} 12/25", f"{CARD} {OTHER}", f"{FR} {CARD}"):
+        assert alone in P.replace(text)[0]
+
+
+def test_long_tables_of_numbers():
+    text = " ".join(str(1000 + i * 37 % 9000) for i in range(3000))
+    assert P.replace(P.replace(text)[0], back=True)[0] == text
+
+
+@given(st.lists(st.sampled_from([SPACED, CARD, "5500-0000-0000-0004", BE, "GB82 WEST 1234 5698 7654 32", "XX42 1234 5678 9012", FR, "212-555-0100", "2021-02-28", "12", "123", "2025", "987654", "1 2 3"]), max_size=6), st.integers(0, 9999))
+def test_neighbours_come_back(parts, number):
+    text = " ".join([*parts, f"{number:04d}", *reversed(parts)])
+    assert P.replace(P.replace(text)[0], back=True)[0] == text

@@ -11,6 +11,13 @@ addresses, calendar dates, telephone numbers (all but the country code), US soci
 numbers, IBANs (check digits follow), card and other numbers of 13 to 19 digits (the check digit
 follows where the number has a valid one) and hexadecimal secrets of 32 or more digits.
 
+Values may stand beside each other and beside other digits. A group of 13 to 19 digits is a number
+by itself; of smaller groups those that cards are written in, then the longest sum of groups with a
+valid check digit, then what is left if it has 13 to 19 digits. More than 19 digits of small groups
+without a valid sum stay. An IBAN has its country's length, or else the longest with valid check
+digits. A pseudonym that would give its neighbourhood another reading is walked on; only there can
+equal values have different pseudonyms.
+
 Defined results: a NULL text stays NULL; a text without personal data is unchanged; rows are
 treated one by one, so repeated rows and equal or NULL ids do no harm; an empty table gives an
 empty table; all columns of the input are kept, and the columns that a function adds must not
@@ -22,7 +29,9 @@ from __future__ import annotations
 import datetime
 import hashlib
 import re
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -221,21 +230,211 @@ def _secret(text: str, feistel: Feistel, back: bool) -> str | None:
             return text
 
 
-#: Kind, pattern and pseudonym; where patterns overlap, the first that starts leftmost wins.
+#: Kind, pattern and pseudonym; where patterns overlap, the first kind wins.
 KINDS: tuple[tuple[str, str, Callable[[str, Feistel, bool], str | None]], ...] = (
     ("ip", r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)", _ip),
     ("date", r"(?<![\d./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4})(?![\d]|[./-]\d)", _date),
     ("ssn", r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d]|-\d)", _ssn),
-    ("iban", r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     ("secret", r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]{32})[0-9A-Fa-f]+(?![A-Za-z0-9])", _secret),
-    ("number", r"(?<![\d+])(?<!\d[ -])\d(?:[ -]?\d){12,18}(?![\d]|[ -]\d)", _number),
-    ("phone", r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d]|-\d)", _phone),
 )
 EMAIL = re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}")
-#: Numbers are searched only where a digit or a plus stands; every pattern but the IBAN's begins with one.
 FOUND = [(kind, re.compile(pattern), pseudonym) for kind, pattern, pseudonym in KINDS]
+#: Numbers are searched only where a digit stands.
 CANDIDATE = re.compile(r"\d")
 
+IBAN_HEAD = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?= ?[A-Z0-9])")
+IBAN_REST = re.compile(r"(?: ?[A-Z0-9]){1,31}")
+IBAN_SHAPE = re.compile(r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?")
+#: Characters of an IBAN by country; other countries and lengths are told by their check digits alone.
+IBAN_LENGTHS = {
+    country: length
+    for length, countries in {
+        15: "NO", 16: "BE", 18: "DK FI FO GL NL", 19: "MK SI", 20: "AT BA EE KZ LT LU XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS", 23: "AE GI IL IQ TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "PT",
+        26: "IS TR", 27: "FR GR IT MC MR SM", 28: "AL AZ CY DO GT HU LB PL", 29: "BR EG QA UA", 30: "JO KW MU PS", 31: "MT SC", 32: "LC",
+    }.items()
+    for country in countries.split()
+}
+#: Digit groups with single blanks or hyphens between them, of 13 digits or more.
+RUN = re.compile(r"\d(?:[ -]?\d){12,}")
+GROUP = re.compile(r"\d+")
+#: Groups that cards are written in; they go before other sums of groups, so a year beside a card does not join it.
+CARDS = ((4, 4, 4, 4), (4, 6, 5))
+PHONE = re.compile(
+    r"\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?(?:\d[ .-])?\d{2,4}(?:[ .-]?\d{2,4}){1,6}(?!\d)"
+    r"|(?<![\d(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)"
+    r"|(?:(?<![\d-])|(?<=(?<![\d-])1-))\d{3}[.-]\d{3}[.-]\d{4}(?![\d]|-\d)"
+)
+#: No value is longer, with its separators.
+REACH = 64
+
+
+def _has_luhn(text: str) -> bool:
+    digits = _only_digits(text)
+    return luhn_digit(digits[:-1]) == digits[-1]
+
+
+def _has_mod_97(text: str) -> bool:
+    plain = text.replace(" ", "")
+    return _iban_check(plain[:2], plain[4:]) == plain[2:4]
+
+
+class Place(NamedTuple):
+    """A value, or what would be one if it were valid; of those that overlap the least rank wins."""
+
+    rank: tuple[int, ...]
+    begin: int
+    end: int
+    valid: Callable[[str], bool] | None = None
+
+
+PSEUDONYMS = {0: ("iban", _iban), 1: ("number", _number), 2: ("number", _number), 3: ("phone", _phone), 4: ("number", _number), 5: ("number", _number)}
+
+
+def _blank(text: str, places: Iterable[tuple[int, int]]) -> str:
+    """The text with a letter for every character of the places."""
+    parts, last = [], 0
+    for begin, end in sorted(places):
+        parts += [text[last:begin], "x" * (end - begin)]
+        last = end
+    return "".join([*parts, text[last:]])
+
+
+def _ibans(text: str) -> list[Place]:
+    found = []
+    for head in IBAN_HEAD.finditer(text):
+        begin, rest = head.start(), IBAN_REST.match(text, head.end())
+        for end in range(rest.end(), head.end(), -1):
+            if text[end - 1] == " " or text[end : end + 1].isalnum() or not IBAN_SHAPE.fullmatch(text, begin, end):
+                continue
+            length = end - begin - text.count(" ", begin, end)
+            found.append(Place((0, begin, int(IBAN_LENGTHS.get(head.group()[:2]) != length), -length), begin, end, _has_mod_97))
+    return found
+
+
+def _phones(text: str) -> list[Place]:
+    """Telephone numbers: of the groups after a country code as many as a number of 15 digits can hold."""
+    found, at = [], 0
+    while match := PHONE.search(text, at):
+        begin, end = match.span()
+        while end > begin and len(_only_digits(text[begin:end])) > 15:
+            # Back to the last border between groups.
+            cut = re.search(r"[ .()-]+\d+$", text[begin:end])
+            end = begin + cut.start() if cut else begin
+        if end > begin and len(_only_digits(text[begin:end])) >= 7:
+            found.append(Place((3, begin), begin, end))
+        at = max(end, begin + 1)
+    return found
+
+
+def _groups(text: str) -> tuple[list[Place], list[list[tuple[int, int]]]]:
+    """Groups of 13 to 19 digits, each a value by itself, and the sequences of other groups between them."""
+    alone, stretches = [], []
+    for run in RUN.finditer(text):
+        plus = text[run.start() - 1 : run.start()] == "+"
+        stretch: list[tuple[int, int]] = []
+        first = 0
+        for i, match in enumerate(GROUP.finditer(text, *run.span())):
+            begin, end = match.span()
+            if i == 0:
+                first = end - begin
+            phone = plus and (end - begin if i == 0 else first + end - begin if i == 1 and first <= 3 else 16) <= 15
+            if 13 <= end - begin <= 19 and not phone:
+                alone.append(Place((1, begin), begin, end))
+            elif i or not plus:
+                stretch.append((begin, end))
+                continue
+            # What follows a plus belongs to no number.
+            stretches.append(stretch)
+            stretch = []
+        stretches.append(stretch)
+    return alone, [s for s in stretches if s]
+
+
+def _sums(stretch: list[tuple[int, int]]) -> list[Place]:
+    """Neighbouring groups that have 13 to 19 digits together: groups of three and more, or the whole stretch."""
+    found = []
+    for i in range(len(stretch)):
+        widths: list[int] = []
+        for j in range(i, len(stretch)):
+            widths.append(stretch[j][1] - stretch[j][0])
+            total = sum(widths)
+            if total > 19:
+                break
+            if total >= 13 and (min(widths) >= 3 or len(widths) == len(stretch)):
+                begin, end = stretch[i][0], stretch[j][1]
+                found.append(Place((2 if tuple(widths) in CARDS else 4, -total, begin), begin, end, _has_luhn))
+    return found
+
+
+class Places:
+    """IBANs, numbers and telephone numbers of a text in which other values are blanked."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.used = bytearray(len(text))
+        self.chosen: list[Place] = []
+        ibans = _ibans(text)
+        self._choose(ibans)
+        alone, stretches = _groups(self._left())
+        self._choose(alone)
+        sums = [place for stretch in stretches for place in _sums(stretch)]
+        self._choose([place for place in sums if place.rank[0] == 2])
+        self._choose(_phones(self._left()))
+        self._choose([place for place in sums if place.rank[0] == 4])
+        self._choose([place for stretch in stretches for place in self._pieces(stretch)])
+        self.chosen.sort(key=lambda place: place.begin)
+        self.tested = sorted(ibans + sums, key=lambda place: place.begin)
+
+    def _left(self) -> str:
+        return _blank(self.text, [(place.begin, place.end) for place in self.chosen])
+
+    def _choose(self, places: list[Place]) -> None:
+        for place in sorted(places, key=lambda place: place.rank):
+            if not any(self.used[place.begin : place.end]) and (place.valid is None or place.valid(self.text[place.begin : place.end])):
+                self.used[place.begin : place.end] = b"\1" * (place.end - place.begin)
+                self.chosen.append(place)
+
+    def _pieces(self, stretch: list[tuple[int, int]]) -> Iterator[Place]:
+        """What is left between values, if it has 13 to 19 digits: a number without a check digit."""
+        piece: list[tuple[int, int]] = []
+        for group in [*stretch, None]:
+            if group and not any(self.used[group[0] : group[1]]):
+                piece.append(group)
+                continue
+            if 13 <= sum(end - begin for begin, end in piece) <= 19:
+                yield Place((5, piece[0][0]), piece[0][0], piece[-1][1])
+            piece = []
+
+    @staticmethod
+    def _near(places: list[Place], begin: int, end: int) -> Iterator[Place]:
+        for place in places[bisect_left(places, begin - REACH, key=lambda p: p.begin) : bisect_left(places, end, key=lambda p: p.begin)]:
+            if place.end > begin:
+                yield place
+
+    def _rivals(self, own: Place) -> list[Place]:
+        """What would take the place of ``own``, or of a part of it, if it became valid."""
+        return [
+            place for place in self._near(self.tested, own.begin, own.end)
+            if place.rank < own.rank and not any(other.rank < place.rank for other in self._near(self.chosen, place.begin, place.end))
+        ]
+
+    def pseudonyms(self, feistel: Feistel, back: bool) -> Iterator[tuple[int, int, str, str]]:
+        """A pseudonym that would make a rival valid is walked on, or the text would be read otherwise on the way back.
+
+        The values are taken in order, and in reverse on the way back, so a rival is judged by the same neighbours.
+        """
+        state = list(self.text) if self.chosen else []
+        for own in reversed(self.chosen) if back else self.chosen:
+            kind, pseudonym = PSEUDONYMS[own.rank[0]]
+            rivals = self._rivals(own)
+            while True:
+                value = pseudonym("".join(state[own.begin : own.end]), feistel, back)
+                state[own.begin : own.end] = value
+                if not any(rival.valid("".join(state[rival.begin : rival.end])) for rival in rivals):
+                    break
+            yield own.begin, own.end, kind, value
+
 
 class Pseudonyms:
     """Finds and replaces the personal data of one text."""
@@ -261,6 +460,7 @@ class Pseudonyms:
                 for match in pattern.finditer(text):
                     if all(match.end() <= b or match.start() >= e for b, e in taken):
                         add(*match.span(), kind, pseudonym(match.group(), self.feistel, back))
+            found += Places(_blank(text, taken)).pseudonyms(self.feistel, back)
         return sorted(found)
 
     def replace(self, text: str, back: bool = False) -> tuple[str, list[tuple[int, int, str, str]]]:
