@@ -98,3 +98,17 @@ def test_sampler_orders(spark):
     random = S.sampler(spark.range(50), "id", True).collect()
     assert sorted(r.id for r in random) == sorted(r.pos for r in random) == list(range(50))
     assert any(r.id != r.pos for r in random)
+
+
+def test_split_is_exact_where_keys_repeat(spark):
+    # A hot key on a third of the rows, at the head of the hash order; NULL keys; rows that are equal as a whole.
+    first = spark.range(20).orderBy(ordkey(42, "id"), "id").first().id
+    for hot in (first, None):
+        rows = [(hot if i % 3 == 0 else i % 20, i // 4, {"a": i // 4}) for i in range(300)]
+        df = spark.createDataFrame(rows, "k bigint, v int, m map<string,int>")
+        for n in (1, 30, 120, 299):
+            got = S.split_exact(df, ["k"], n).collect()
+            assert len(got) == 300 and sum(r.split == "valid" for r in got) == n
+            assert sorted(str((r.k, r.v, r.m)) for r in got) == sorted(map(str, rows))
+            again = S.split_exact(df.repartition(5), ["k"], n).collect()
+            assert sorted(map(str, again)) == sorted(map(str, got))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.order import ordkey
 from tokenloom.operators.positions import key_positions, shuffled_positions
+from tokenloom.session import stage
 
 # Above this many rows a sample is cut by position instead of a top-n on the driver.
 TOP_N_ROWS = 1_000
@@ -18,17 +19,30 @@ def split_exact(df: DataFrame, keys: Sequence[str], valid_rows: int = 100, seed:
     """Add ``split``: exactly ``valid_rows`` random rows are ``valid``, the rest ``train``.
 
     A table with no more than ``valid_rows`` rows is an error. One small top-n over the keys finds the
-    border row; after that the split is a comparison, and the rows themselves are not shuffled.
+    border row; after that the split is a comparison, and the rows themselves are not shuffled. Where the
+    border row's keys repeat, its rows are told apart by their other columns; only then is the table staged.
     """
     place = F.struct(ordkey(seed, *keys).alias("_ordkey"), *keys)
     head = df.select(place.alias("_place")).orderBy("_place").limit(valid_rows + 1)
-    border = head.agg(F.count("*").alias("n"), F.max("_place").alias("first_train")).select("n", "first_train.*").first()
-    if border.n <= valid_rows:
-        raise ValueError(f"cannot take {valid_rows} validation rows from {border.n} rows")
+    counted = head.groupBy("_place").agg(F.count("*").alias("_equal"))
+    border = counted.agg(F.sum("_equal").alias("_n"), F.max(F.struct("_place", "_equal")).alias("_last")).select("_n", "_last._equal", "_last._place.*").first()
+    if (border[0] or 0) <= valid_rows:
+        raise ValueError(f"cannot take {valid_rows} validation rows from {border[0] or 0} rows")
     # The border row as a constant of the same types.
     kinds = df.select(place.alias("p")).schema["p"].dataType
-    values = F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(border[1:], kinds.fields)])
-    return df.withColumn("split", F.when(place < values, F.lit("valid")).otherwise(F.lit("train")))
+    values = F.struct(*[F.lit(value).cast(field.dataType).alias(field.name) for value, field in zip(border[2:], kinds.fields)])
+    before, split_of = place < values, lambda valid: F.when(valid, F.lit("valid")).otherwise(F.lit("train"))
+    # All rows of the head but the border row are valid, those with its keys too.
+    repeated = border[1] - 1
+    if not repeated:
+        return df.withColumn("split", split_of(before))
+    digest = F.md5(F.to_json(F.struct(*(F.col(f"`{c}`") for c in df.columns))))
+    numbered = stage(df.withColumn("_split_row", F.monotonically_increasing_id()), "split-rows")
+    equal = place.eqNullSafe(values)
+    own = F.struct(digest.alias("digest"), F.col("_split_row").alias("row"))
+    last = numbered.where(equal).select(own.alias("_own")).orderBy("_own").limit(repeated).agg(F.max("_own").alias("last")).select("last.*").first()
+    among = own <= F.struct(F.lit(last.digest).alias("digest"), F.lit(last.row).cast("bigint").alias("row"))
+    return numbered.withColumn("split", split_of(before | (equal & among))).drop("_split_row")
 
 
 def shuffle(df: DataFrame, keys: Sequence[str], seed: int = 42) -> DataFrame:
