@@ -59,3 +59,18 @@ def test_empty_tables(spark):
     assert d.contamination(frame.limit(0), bench).collect() == []
     assert all(not r.spans for r in d.contamination(frame, bench.limit(0)).collect())
     assert d.remove_documents(frame, bench.limit(0)).count() == frame.count()
+
+
+def test_removal_does_not_depend_on_blocks(spark):
+    # Windows of items in different blocks overlap, and cutting one joins words to a window that never stood there.
+    w = [f"w{i}" for i in range(40)]
+    items = [(1, " ".join(w[5:15])), (2, " ".join(w[10:22])), (3, " ".join(w[:5] + w[22:27]))]
+    rows = [(1, " ".join(w), "a"), (1, " ".join(w), "b"), (2, None, "c"), (3, "", "d"), (None, "Clean, text", "e"), (4, ", ".join(w[:16]), "f")]
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, _kind string")
+    bench = spark.createDataFrame(items, "item_id bigint, text string").coalesce(1)
+    whole = " ".join(w[:5]) + "  " + " ".join(w[22:])
+    want = [(1, whole, "a"), (1, whole, "b"), (2, None, "c"), (3, "", "d"), (None, "Clean, text", "e"), (4, "w0, w1, w2, w3, w4, , w15", "f")]
+    for block in (1_000_000, 12, 1):
+        cut = d.remove_spans(frame, bench, block=block)
+        assert cut.columns == frame.columns
+        assert sorted(map(tuple, cut.collect()), key=str) == sorted(want, key=str)

@@ -16,6 +16,7 @@ cannot clash; the functions that return documents keep all their columns.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,6 +37,7 @@ BLOCK_WINDOWS = 1_000_000
 NORMALISE = bytes(
     i + 32 if 65 <= i <= 90 else i if i >= 128 or 48 <= i <= 57 or 97 <= i <= 122 else 32 for i in range(256)
 )
+WORD = re.compile(rb"[^ ]+")
 MULTIPLIER = 0x9E3779B97F4A7C15
 
 
@@ -146,6 +148,26 @@ def _scan(held: Broadcast):
     return run
 
 
+def _digest(text: str):
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
+
+
+def _united(docs: DataFrame, text: str, sets: list[WindowSet]) -> DataFrame:
+    """Rows (digest, spans, items) of the texts with hits, each judged as it is by every block."""
+    # Hits depend on the text alone, so passes meet on its digest; only documents with hits are shuffled.
+    rows = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
+    passes = [
+        rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(one)), f"digest string, {HITS}").where(F.size("spans") > 0).dropDuplicates(["digest"])
+        for one in sets
+    ]
+    united = passes[0]
+    for more in passes[1:]:
+        united = united.unionByName(more)
+    return united.groupBy("digest").agg(
+        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
+    ).mapInArrow(_merge_spans, "digest string, spans array<int>, items array<bigint>")
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id", item_text: str = "text",
     window: int = WINDOW, block: int = BLOCK_WINDOWS,
@@ -161,19 +183,8 @@ def contamination(
         kind = rows.schema["key"].dataType.simpleString()
         found = rows.mapInArrow(_scan(spark.sparkContext.broadcast(sets[0])), f"key {kind}, {HITS}")
         return found.withColumnRenamed("key", key)
-    # Hits depend on the text alone, so passes meet on its digest; only documents with hits are shuffled.
-    rows = docs.select(F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("digest"), F.col(text).alias("text"))
-    passes = [
-        rows.mapInArrow(_scan(spark.sparkContext.broadcast(one)), f"digest string, {HITS}").where(F.size("spans") > 0).dropDuplicates(["digest"])
-        for one in sets
-    ]
-    united = passes[0]
-    for more in passes[1:]:
-        united = united.unionByName(more)
-    hits = united.groupBy("digest").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    ).mapInArrow(_merge_spans, "digest string, spans array<int>, items array<bigint>")
-    base = docs.select(F.col(key).alias("key"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256).alias("digest"), word_count(F.col(text)).alias("n_words"))
+    hits = _united(docs, text, sets)
+    base = docs.select(F.col(key).alias("key"), _digest(text).alias("digest"), word_count(F.col(text)).alias("n_words"))
     empty_spans, empty_items = F.array().cast("array<int>"), F.array().cast("array<bigint>")
     joined = base.join(hits, "digest", "left").select(
         "key", "n_words", F.coalesce("spans", empty_spans).alias("spans"), F.coalesce("items", empty_items).alias("items")
@@ -197,41 +208,56 @@ def _merge_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(merged, pa.list_(pa.int32())), batch.column("items")], names=batch.schema.names)
 
 
+def _cut(value: str, spans: list[int]) -> str:
+    """The text without the words of the spans and what stands between them."""
+    raw = value.encode("utf-8")
+    places = [m.span() for m in WORD.finditer(raw.translate(NORMALISE))]
+    parts, last = [], 0
+    for begin, end in zip(spans[::2], spans[1::2]):
+        parts.append(raw[last : places[begin][0]])
+        last = places[end - 1][1]
+    return b"".join([*parts, raw[last:]]).decode("utf-8")
+
+
 def _without_spans(held: Broadcast, text: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import re
-
         sets: WindowSet = held.value
-        word = re.compile(rb"[^ ]+")
         for batch in small_batches(batches, text):
             at = batch.schema.get_field_index(text)
             cleaned = []
             for value in batch.column(text).to_pylist():
-                if value is not None:
-                    raw = value.encode("utf-8")
-                    plain = raw.translate(NORMALISE)
-                    spans = _spans(sets.scan(plain.split())[0])
-                    if spans:
-                        places = [m.span() for m in word.finditer(plain)]
-                        parts, last = [], 0
-                        for begin, end in zip(spans[::2], spans[1::2]):
-                            parts.append(raw[last : places[begin][0]])
-                            last = places[end - 1][1]
-                        value = b"".join([*parts, raw[last:]]).decode("utf-8")
-                cleaned.append(value)
+                spans = _spans(sets.scan(words_of(value))[0]) if value is not None else []
+                cleaned.append(_cut(value, spans) if spans else value)
             yield batch.set_column(at, batch.schema.field(at), pa.array(cleaned, batch.schema.field(at).type))
 
     return run
 
 
+def _without_joined(text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, text):
+            at = batch.schema.get_field_index(text)
+            spans = batch.column("_hit_spans").to_pylist()
+            cleaned = [_cut(value, own) if own else value for value, own in zip(batch.column(text).to_pylist(), spans)]
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(cleaned, batch.schema.field(at).type))
+            yield batch.select([name for name in batch.schema.names if name != "_hit_spans"])
+
+    return run
+
+
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents, all their columns, without the hit words and what stands between them.
 
-    With several blocks each pass judges what the pass before has left.
+    Every block judges the text as it is; the united spans are cut once, so the result does not depend on the blocks.
     """
-    for one in window_sets(benchmark, item, item_text, window, block):
-        docs = docs.mapInArrow(_without_spans(docs.sparkSession.sparkContext.broadcast(one), text), docs.schema)
-    return docs
+    sets = list(window_sets(benchmark, item, item_text, window, block))
+    if not sets:
+        return docs
+    if len(sets) == 1:
+        return docs.mapInArrow(_without_spans(docs.sparkSession.sparkContext.broadcast(sets[0]), text), docs.schema)
+    hits = _united(docs, text, sets).select(F.col("digest").alias("_hit_digest"), F.col("spans").alias("_hit_spans"))
+    joined = docs.withColumn("_hit_digest", _digest(text)).join(hits, "_hit_digest", "left").select(*(f"`{c}`" for c in docs.columns), "_hit_spans")
+    return joined.mapInArrow(_without_joined(text), docs.schema)
 
 
 def _clean_only(held: Broadcast, text: str):
