@@ -111,3 +111,25 @@ def test_query_against_brute_force(spark):
     got = nd.op3(spark, folder).collect()
     assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute(rows, 4)
     assert all(r.kept == (r.doc_id == r.component_id) for r in got)
+
+
+def test_drop_copies_keeps_one_of_each_group(spark):
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(k, base + end) for k in (7, 7, 4, 4, None) for end in ("", " more")] + [(None, "copies without id")] * 3 + [(None, None), (None, ""), (1, None), (1, None), (2, "alone")]
+    frame = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate(rows)], "doc_id bigint, text string, row int").repartition(5)
+    kept = nd.drop_copies(frame)
+    assert kept.columns == frame.columns
+    got = kept.collect()
+    assert sorted(str(r.doc_id) for r in got if r.text) == ["2", "4", "None"]
+    assert sorted(str(r.doc_id) for r in got if not r.text) == ["1", "1", "None", "None"]
+    assert len({r.row for r in got}) == len(got) and all(rows[r.row] == (r.doc_id, r.text) for r in got)
+    twice = nd.drop_copies(frame.union(frame)).where("text <> ''")
+    assert twice.count() == 3
+
+
+def test_drop_copies_without_ids(spark):
+    # A repeated load, a third of it without ids.
+    rows = [(None if k % 3 == 0 else k, t) for k, t in corpus(5, 8)] * 2
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string")
+    numbered = brute([(i, t) for i, (_, t) in enumerate(rows)], nd.SHINGLE)
+    assert nd.drop_copies(frame).count() == len({c for _, _, c in numbered})

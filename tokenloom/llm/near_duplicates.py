@@ -17,8 +17,8 @@ that could link two components, and no bucket is one task.
 Defined results: NULL, empty and blank texts have no shingles and are linked with nothing; a text
 of fewer words than a shingle is one shingle; equal texts, repeated rows and equal ids share a
 component, whose id is the smallest that is not NULL; a NULL id is never kept by ``kept`` (it is not
-the smallest id of anything) but ``drop_copies`` leaves rows without an id alone; an empty table
-gives an empty table. Only ``key`` and ``text`` are read, so other columns cannot clash.
+the smallest id of anything), and ``kept`` marks all rows that repeat the smallest id, while
+``drop_copies`` keeps one row of each component whatever the ids; an empty table gives an empty table. Only ``key`` and ``text`` are read, so other columns cannot clash.
 """
 
 from __future__ import annotations
@@ -258,9 +258,8 @@ def _with_centres(buckets: DataFrame, roots: DataFrame | None) -> DataFrame:
     return found.select(F.least("rep", "node").alias("a"), F.greatest("rep", "node").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Rows (key, code, n_shingles, component_id, kept); ``code`` is the xxhash64 of the text."""
-    described = describe(docs, key, text, size)
+def _placed(docs: DataFrame, described: DataFrame, text: str, size: int, percent: int) -> DataFrame:
+    """Rows (key, code, n, node, root) of the described ones; without shingles the root is NULL."""
     nodes = described.where("node IS NOT NULL").groupBy("node").agg(
         F.first("n").alias("n"), F.first("signature").alias("signature"),
         F.when(F.min("check") == F.max("check"), F.lit(True)).otherwise(F.raise_error(F.lit("two shingle sets of one number: change the seed"))).alias("one"),
@@ -278,8 +277,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
         links = _confirm(_near(more, nodes, percent), docs, described, text, size, percent)
         if not links.isEmpty():
             roots = stage(components(roots.where("node <> root").toDF("a", "b").unionByName(links)), "near-roots")
+    return described.select("key", "code", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """Rows (key, code, n_shingles, component_id, kept); ``code`` is the xxhash64 of the text."""
     # A text without shingles is a component of its own.
-    placed = described.select("key", "code", "n", "node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    placed = _placed(docs, describe(docs, key, text, size), text, size, percent)
     linked = placed.where("root IS NOT NULL")
     lowest = linked.groupBy("root").agg(F.min("key").alias("component_id"))
     own = placed.where("root IS NULL").select("key", "code", "n", F.col("key").alias("component_id"))
@@ -290,15 +294,20 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
 
 
 def drop_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """The documents, all their columns, without those that are not the smallest id of their group.
+    """The documents, all their columns, one of each group: a row with the smallest id, or any one where no row has an id.
 
-    Rows without an id stay, and so do rows that repeat the kept row's id in its group.
+    Rows without shingles stay.
     """
-    judged = stage(near_duplicates(docs, key, text, size, percent), "near-judged")
-    gone = judged.where(~F.col("kept") & F.col(key).isNotNull()).select(F.col(key).alias("_gone_key"), F.col("code").alias("_gone_code")).distinct()
+    # Rows are told apart by a number, as ids may repeat or be NULL; it is staged with them, so it stays the same.
+    numbered = stage(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near-numbered")
+    pair = F.struct(F.col(key).alias("id"), F.col("_near_row").alias("row"))
+    described = describe(numbered.withColumn("_near_pair", pair), "_near_pair", text, size)
+    placed = stage(_placed(numbered, described, text, size, percent).where("root IS NOT NULL").select("root", F.col("key.id").isNull().alias("no_id"), "key.id", "key.row"), "near-judged")
+    first = placed.groupBy("root").agg(F.min(F.struct("no_id", "id", "row")).alias("first"))
+    gone = placed.join(first, "root").where(F.col("row") != F.col("first.row")).select(F.col("row").alias("_near_row"))
+    gone = stage(gone, "near-gone")
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_NODES else gone
-    same = (F.col(key) == F.col("_gone_key")) & (F.xxhash64(F.coalesce(F.col(text), F.lit(""))) == F.col("_gone_code"))
-    return docs.join(gone, same, "left_anti")
+    return numbered.join(gone, "_near_row", "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 @query("op3_minhash_near_dedup")
