@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import cached_property
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tokenloom.functions.constants import FULL_PATTERN, IGNORE_LABEL, SIMPLE_PATTERN, special_names
 from tokenloom.operators.joins import lookup_join, salted_join
+from tokenloom.operators.merges import Merger
 from tokenloom.session import stage
 
 # Largest vocabulary that travels to the executors as a value; a larger one is joined.
@@ -226,51 +228,43 @@ def bpe_ranks(vocab: Vocabulary) -> dict[bytes, int]:
     return ranks
 
 
-def merge_pairs(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Merge the adjacent pair of the lowest rank, first from the left, until no pair is in the ranks."""
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1 and piece not in ranks:
-        best = min(range(len(parts) - 1), key=lambda i: ranks.get(parts[i] + parts[i + 1], len(ranks)))
-        if parts[best] + parts[best + 1] not in ranks:
-            break
-        parts[best : best + 2] = [parts[best] + parts[best + 1]]
-    return [ranks[piece]] if piece in ranks else [ranks[part] for part in parts]
-
-
 def encode_bpe(df: DataFrame, key: Sequence[str], vocab: Vocabulary, text: str = "text", out: str = "input_ids") -> DataFrame:
-    """Add byte-pair ids: each distinct piece of the table is merged once, and rows find their pieces by a salted join.
+    """Add byte-pair ids, without a shuffle: each batch merges its distinct pieces that the worker has not lately seen.
 
-    A text that holds a special name is an error.
+    A text that holds a special name is an error. The ids depend on the row alone, so ``key`` may repeat or be NULL.
     """
-    ranks, names = bpe_ranks(vocab), [F.contains(F.col(text), F.lit(name)) for name in special_names()]
-    pieces = pretokenize_full(text)
-    distinct = df.select(*key, F.explode(F.array_distinct(pieces)).alias("piece"))
-
-    def run(batches):
-        for batch in batches:
-            ids = [merge_pairs(piece.encode("utf-8"), ranks) for piece in batch.column("piece").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(ids, pa.list_(pa.int32()))], names=["piece", "ids"])
-
-    merged = stage(distinct.select("piece").distinct().mapInArrow(run, "piece string, ids array<int>"), "merged-pieces")
-    found = salted_join(distinct, merged, ["piece"], key)
-    maps = found.groupBy(*key).agg(F.map_from_entries(F.collect_set(F.struct("piece", "ids"))).alias("_map"))
-    joined = _join_maps(df, maps, key)
-    ids = F.flatten(F.transform(pieces, lambda p: F.try_element_at(F.col("_map"), p)))
+    ranks = bpe_ranks(vocab)
+
+    @F.arrow_udf("array<int>")
+    def merge(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        merger = Merger(ranks)
+        for pieces in column:
+            ids, counts = merger.encode(pieces.flatten().cast(pa.string()))
+            lengths = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(lengths)))]
+            mask = pieces.is_null() if pieces.null_count else None
+            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)), mask=mask)
+
     refused = F.lit(False)
-    for name in names:
-        refused = refused | name
-    refused = F.when(refused, F.raise_error(F.lit("a special name stands in the text"))).otherwise(ids)
-    return joined.withColumn(out, refused).drop("_map")
+    for name in special_names():
+        refused = refused | F.contains(F.col(text), F.lit(name))
+    ids = merge(pretokenize_full(text))
+    return df.withColumn(out, F.when(refused, F.raise_error(F.lit("a special name stands in the text"))).otherwise(ids))
 
 
 def decode_bpe(ids: Column, vocab: Vocabulary) -> Column:
     """Text of byte-pair ids: the bytes of all ids, joined."""
-    token = {rank: piece for piece, rank in bpe_ranks(vocab).items()}
+    ranks = bpe_ranks(vocab)
 
     @F.arrow_udf("string")
-    def decode(column: pa.Array) -> pa.Array:
-        raw = [None if i is None else b"".join(map(token.__getitem__, i)).decode("utf-8", "replace") for i in column.to_pylist()]
-        return pa.array(raw, pa.string())
+    def decode(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        merger = Merger(ranks)
+        for lists in column:
+            raw, counts = merger.decode(lists.flatten().to_numpy())
+            lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(lengths)))].tolist()
+            whole, there = raw.tobytes(), lists.is_valid().to_pylist()
+            yield pa.array([whole[a:b].decode("utf-8", "replace") if known else None for a, b, known in zip(ends, ends[1:], there)], pa.string())
 
     return decode(ids)
 
