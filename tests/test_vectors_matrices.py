@@ -129,29 +129,56 @@ def attention(q, k, v):
     return (w / w.sum(axis=1, keepdims=True)) @ v
 
 
+def attention_frame(spark, sequences):
+    """Rows of (seq, q, k, v) matrices, with the length of each sequence."""
+    rows = [(seq, i, len(q), q[i].tolist(), k[i].tolist(), v[i].tolist()) for seq, q, k, v in sequences for i in range(len(q))]
+    return spark.createDataFrame(rows, "seq bigint, p int, seq_rows int, q array<double>, k array<double>, v array<double>").repartition(4)
+
+
 def test_causal_attention_of_seventeen_positions(spark):
     rng = np.random.default_rng(2)
     q, k, v = (rng.normal(size=(17, 8)) for _ in range(3))
-    rows = [(0, i, q[i].tolist(), k[i].tolist(), v[i].tolist()) for i in range(17)]
-    rows += [(1, i, q[i].tolist(), k[i].tolist(), v[i].tolist()) for i in range(3)]
-    df = spark.createDataFrame(rows, "seq bigint, p int, q array<double>, k array<double>, v array<double>").repartition(4)
-    blocks = A.blocks(df, ["seq"], ["q", "k", "v"]).withColumn("s", A.causal_scores("q", "k"))
-    assert sum(len(r) for r in blocks.where("seq = 0").first().s) == 153
-    out = blocks.withColumn("w", A.causal_weights("s")).withColumn("o", A.attention_pool("w", "v"))
-    for r in out.collect():
-        n = 17 if r.seq == 0 else 3
-        assert np.allclose([sum(x) for x in r.w], 1.0)
-        assert np.allclose(r.o, attention(q[:n], k[:n], v[:n]))
+    df = attention_frame(spark, [(0, q, k, v), (1, q[:3], k[:3], v[:3])])
+    pieces = A.weight_rows(df, ["seq"], block=5).collect()
+    assert sum(len(r.weights) for r in pieces if r.seq == 0) == 153
+    for seq, n in ((0, 17), (1, 3)):
+        weights = np.zeros((n, n))
+        for r in pieces:
+            if r.seq == seq:
+                weights[r.p, r["first"] : r["first"] + len(r.weights)] = r.weights
+        assert np.allclose(weights.sum(axis=1), 1.0) and not np.triu(weights, 1).any()
+        assert np.allclose(weights @ v[:n], attention(q[:n], k[:n], v[:n]))
+
+
+@pytest.mark.parametrize("rows, block", [(300, A.BLOCK), (300, 16), (33, 1)])
+def test_attention_over_a_whole_sequence(spark, rows, block):
+    """Every position sees all before it, in whatever blocks; large scores do not overflow; NULL is a sequence."""
+    rng = np.random.default_rng(6)
+    q, k, v = 20 * rng.normal(size=(rows, 8)), 20 * rng.normal(size=(rows, 8)), rng.normal(size=(rows, 6))
+    df = attention_frame(spark, [(None, q, k, v), (4, q[:2], k[:2], v[:2])])
+    found = A.attend(df, ["seq"], block=block).orderBy("p").collect()
+    assert np.allclose([r.out for r in found if r.seq is None], attention(q, k, v))
+    assert np.allclose([r.out for r in found if r.seq == 4], attention(q[:2], k[:2], v[:2]))
+    # Blocks merge: each row appears once, whatever number of blocks it saw.
+    assert [r.p for r in found if r.seq is None] == list(range(rows))
 
 
 def test_shared_key_heads(spark):
     rng = np.random.default_rng(4)
     q, k, v = rng.normal(size=(5, 16)), rng.normal(size=(5, 8)), rng.normal(size=(5, 8))
-    df = spark.createDataFrame([(0, i, q[i].tolist(), k[i].tolist(), v[i].tolist()) for i in range(5)], "seq bigint, p int, q array<double>, k array<double>, v array<double>")
-    heads = A.multi_head(A.blocks(df, ["seq"], ["q", "k", "v"]), ["seq"], heads=4, kv_heads=2, head_dim=4)
-    got = np.array([r.out for r in A.concat_heads(heads, ["seq"]).orderBy("p").collect()])
+    rows = A.attend(attention_frame(spark, [(0, q, k, v)]), ["seq"], heads=4, kv_heads=2, block=2)
     want = np.concatenate([attention(q[:, h * 4 : h * 4 + 4], k[:, h // 2 * 4 : h // 2 * 4 + 4], v[:, h // 2 * 4 : h // 2 * 4 + 4]) for h in range(4)], axis=1)
-    assert np.allclose(got, want)
+    assert np.allclose([r.out for r in rows.orderBy("p").collect()], want)
+    heads = {(r.p, r.head): r.out for r in A.head_outputs(rows, ["seq"], 4).collect()}
+    assert len(heads) == 20 and all(np.allclose(heads[p, h], want[p, 4 * h : 4 * h + 4]) for p, h in heads)
+
+
+def test_heads_are_rotated_one_by_one(spark):
+    rng = np.random.default_rng(8)
+    vec = rng.normal(size=12)
+    got = one(spark, V.rope_heads(lit(vec.tolist()), F.lit(5), 3, 4))
+    for h in range(3):
+        assert np.allclose(got[4 * h : 4 * h + 4], one(spark, V.rope(lit(vec[4 * h : 4 * h + 4].tolist()), F.lit(5), 4)))
 
 
 def test_sequences_of_a_hot_group_stay_short(spark):

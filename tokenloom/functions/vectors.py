@@ -135,6 +135,11 @@ def split_heads(vec: Column, heads: int, head_dim: int) -> Column:
     return F.transform(starts, lambda h: F.slice(vec, h * head_dim + 1, F.lit(head_dim)))
 
 
+def rope_heads(vec: Column, pos: Column, heads: int, head_dim: int, theta: float = ROPE_THETA) -> Column:
+    """``rope`` of every head of a vector that holds them side by side."""
+    return F.flatten(F.transform(split_heads(vec, heads, head_dim), lambda head: rope(head, pos, head_dim, theta)))
+
+
 def block_scale(vec: Column) -> Column:
     return F.array_max(F.transform(vec, lambda x: F.abs(x)))
 

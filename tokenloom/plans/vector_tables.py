@@ -14,7 +14,7 @@ from tokenloom.plans.evaluation import scored_embeddings
 from tokenloom.plans.registry import CELLS_SQL, embeddings, query, r6, sql_r6
 
 SIZE = 64
-CONTEXT = 32
+CONTEXT = A.CONTEXT
 
 
 def long_rows(df, keys, **columns):
@@ -174,26 +174,27 @@ weights AS MATERIALIZED (
   SELECT label, seq, i, j, exp(s) / sum(exp(s)) OVER (PARTITION BY label, seq, i) AS w FROM scores)"""
 
 
-def score_blocks(spark, folder):
-    rows = rotated(spark, folder).select("label", "seq", "p", "q", F.col("vec").alias("v"))
-    blocks = A.blocks(rows, SEQ_KEY, ["q", "v"])
-    return blocks.withColumn("scores", A.causal_scores("q", "q"))
+def attention_rows(spark, folder):
+    """Rotated queries and keys, plain values, of whole sequences."""
+    rows = A.sequences(embeddings(spark, folder), "label", "vec_id", CONTEXT)
+    rotated = V.rope(F.col("vec"), F.col("p"), SIZE)
+    return rows.select(*SEQ_KEY, "p", "seq_rows", rotated.alias("q"), rotated.alias("k"), F.col("vec").alias("v"))
 
 
 def cells_of(df, column):
-    lists = df.select(*SEQ_KEY, F.posexplode_outer(column).alias("i", "_row"))
-    values = lists.select(*SEQ_KEY, "i", F.posexplode_outer("_row").alias("j", "_x"))
-    return values.select(*SEQ_KEY, F.col("i").cast("bigint"), F.col("j").cast("bigint"), r6("_x").alias("value"))
+    """One row per query and key."""
+    values = df.select(*SEQ_KEY, F.col("p").cast("bigint").alias("i"), "first", F.posexplode_outer(column).alias("at", "_x"))
+    return values.select(*SEQ_KEY, "i", (F.col("first") + F.col("at")).cast("bigint").alias("j"), r6("_x").alias("value"))
 
 
 @query("attention_scores", f"WITH {SCORES_SQL} SELECT label, seq, i, j, {sql_r6('s')} AS value FROM scores")
 def attention_scores(spark, folder):
-    return cells_of(score_blocks(spark, folder), "scores")
+    return cells_of(A.score_rows(attention_rows(spark, folder), SEQ_KEY), "scores")
 
 
 @query("softmax", f"WITH {SCORES_SQL} SELECT label, seq, i, j, {sql_r6('w')} AS value FROM weights")
 def softmax(spark, folder):
-    return cells_of(score_blocks(spark, folder).withColumn("weights", A.causal_weights(F.col("scores"))), "weights")
+    return cells_of(A.weight_rows(attention_rows(spark, folder), SEQ_KEY), "weights")
 
 
 @query(
@@ -202,17 +203,30 @@ def softmax(spark, folder):
         FROM weights w JOIN seqs v ON v.label = w.label AND v.seq = w.seq AND v.p = w.j GROUP BY w.label, w.seq, w.i, v.k""",
 )
 def attention_pool(spark, folder):
-    blocks = score_blocks(spark, folder)
-    return cells_of(blocks.withColumn("out", A.attention_pool(A.causal_weights(F.col("scores")), F.col("v"))), "out")
+    rows = A.attend(attention_rows(spark, folder), SEQ_KEY)
+    values = rows.select(*SEQ_KEY, F.col("p").cast("bigint").alias("i"), F.posexplode_outer("out").alias("j", "_x"))
+    return values.select(*SEQ_KEY, "i", F.col("j").cast("bigint"), r6("_x").alias("value"))
 
 
 HEADS, KV_HEADS, HEAD = 8, 2, 8
+
+
+def _rotated_sql(source: str, name: str) -> str:
+    """CTE: rows (label, seq, p, head, d, x) of ``source`` with every head rotated by its position."""
+    return f"""{name} AS MATERIALIZED (
+  SELECT a.label, a.seq, a.p, a.head, a.d, CASE WHEN a.d % 2 = 0 THEN a.x * cos(t) - b.x * sin(t) ELSE b.x * sin(t) + a.x * cos(t) END AS x
+  FROM (SELECT *, p * pow({ROPE_THETA}, -((d // 2) / {HEAD / 2})) AS t FROM {source}) a
+  JOIN {source} b ON b.label = a.label AND b.seq = a.seq AND b.p = a.p AND b.head = a.head AND b.d = CASE WHEN a.d % 2 = 0 THEN a.d + 1 ELSE a.d - 1 END)"""
+
+
 HEADS_SQL = f"""{SEQ_SQL},
-qh AS (SELECT label, seq, p, k // {HEAD} AS head, k % {HEAD} AS d, x FROM seqs),
-kv AS (SELECT label, seq, p, k // {HEAD} AS g, k % {HEAD} AS d, x FROM seqs WHERE k < {KV_HEADS * HEAD}),
+q0 AS MATERIALIZED (SELECT label, seq, p, k // {HEAD} AS head, k % {HEAD} AS d, x FROM seqs),
+k0 AS MATERIALIZED (SELECT label, seq, p, k // {HEAD} AS head, k % {HEAD} AS d, x FROM seqs WHERE k < {KV_HEADS * HEAD}),
+{_rotated_sql("q0", "qh")},
+{_rotated_sql("k0", "kv")},
 vv AS (SELECT label, seq, p, (k - {SIZE - KV_HEADS * HEAD}) // {HEAD} AS g, k % {HEAD} AS d, x FROM seqs WHERE k >= {SIZE - KV_HEADS * HEAD}),
 hs AS (SELECT q.label, q.seq, q.head, q.p AS i, c.p AS j, sum(q.x * c.x) / sqrt({HEAD}) AS s
-  FROM qh q JOIN kv c ON c.label = q.label AND c.seq = q.seq AND c.d = q.d AND c.g = q.head // {HEADS // KV_HEADS} AND c.p <= q.p
+  FROM qh q JOIN kv c ON c.label = q.label AND c.seq = q.seq AND c.d = q.d AND c.head = q.head // {HEADS // KV_HEADS} AND c.p <= q.p
   GROUP BY q.label, q.seq, q.head, q.p, c.p),
 hw AS MATERIALIZED (SELECT *, exp(s) / sum(exp(s)) OVER (PARTITION BY label, seq, head, i) AS w FROM hs),
 heads AS MATERIALIZED (SELECT h.label, h.seq, h.head, h.i AS p, v.d, sum(h.w * v.x) AS o
@@ -220,26 +234,26 @@ heads AS MATERIALIZED (SELECT h.label, h.seq, h.head, h.i AS p, v.d, sum(h.w * v
   GROUP BY h.label, h.seq, h.head, h.i, v.d)"""
 
 
-def head_outputs(spark, folder):
-    width = KV_HEADS * HEAD
-    # Keys and values are parts of the same vector: cut them after the shuffle, not before.
-    blocks = A.blocks(sequences(spark, folder), SEQ_KEY, ["vec"])
-    blocks = blocks.select(
-        *SEQ_KEY, F.col("vec").alias("q"), F.transform("vec", lambda r: F.slice(r, 1, width)).alias("k"),
-        F.transform("vec", lambda r: F.slice(r, SIZE - width + 1, width)).alias("v"),
+def attended(spark, folder):
+    """Outputs of all heads, side by side: queries and keys are rotated head by head."""
+    width, place = KV_HEADS * HEAD, F.col("p")
+    rows = A.sequences(embeddings(spark, folder), "label", "vec_id", CONTEXT)
+    rows = rows.select(
+        *SEQ_KEY, "p", "seq_rows", V.rope_heads(F.col("vec"), place, HEADS, HEAD).alias("q"),
+        V.rope_heads(F.slice("vec", 1, width), place, KV_HEADS, HEAD).alias("k"), F.slice("vec", SIZE - width + 1, width).alias("v"),
     )
-    return A.multi_head(blocks, SEQ_KEY, HEADS, KV_HEADS, HEAD)
+    return A.attend(rows, SEQ_KEY, HEADS, KV_HEADS)
 
 
 @query("multi_head", f"WITH {HEADS_SQL} SELECT label, seq, head, p, d AS k, {sql_r6('o')} AS value FROM heads")
 def multi_head(spark, folder):
-    rows = long_rows(head_outputs(spark, folder), [*SEQ_KEY, "head", "p"], value=F.col("out"))
+    rows = long_rows(A.head_outputs(attended(spark, folder), SEQ_KEY, HEADS), [*SEQ_KEY, "head", "p"], value=F.col("out"))
     return rows.withColumns({"p": F.col("p").cast("bigint"), "head": F.col("head").cast("bigint")})
 
 
 @query("concat_heads", f"WITH {HEADS_SQL} SELECT label, seq, p, head * {HEAD} + d AS k, {sql_r6('o')} AS value FROM heads")
 def concat_heads(spark, folder):
-    rows = long_rows(A.concat_heads(head_outputs(spark, folder), SEQ_KEY), [*SEQ_KEY, "p"], value=F.col("out"))
+    rows = long_rows(attended(spark, folder), [*SEQ_KEY, "p"], value=F.col("out"))
     return rows.withColumn("p", F.col("p").cast("bigint"))
 
 
