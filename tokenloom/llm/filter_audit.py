@@ -363,7 +363,7 @@ SELECT part, filter_order, step,
        coalesce(sum(n) FILTER (fails = letter), 0)::BIGINT AS unique_fails,
        coalesce(sum(n) FILTER (now AND NOT earlier AND good), 0)::BIGINT AS good_lost,
        coalesce(sum(n) FILTER (now AND NOT earlier AND toxic), 0)::BIGINT AS toxic_lost,
-       coalesce(sum(n * 120 // length(fails)) FILTER (now), 0)::BIGINT AS shapley
+       coalesce(sum(n * 120 // greatest(length(fails), 1)) FILTER (now), 0)::BIGINT AS shapley
 FROM met GROUP BY part, filter_order, step
 """
 
