@@ -34,7 +34,7 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
     ``n_chars`` follows the text.
     """
-    masked = pii.pseudonymise(docs)
+    masked = pii.pseudonymise(docs, key=pii.key_of(spark))
     if "n_chars" not in docs.columns:
         return masked
     kind = docs.schema["n_chars"].dataType.simpleString()

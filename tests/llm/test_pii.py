@@ -2,6 +2,7 @@
 
 import datetime
 import re
+import time
 
 import pytest
 from hypothesis import given
@@ -119,6 +120,60 @@ def test_long_tables_of_numbers():
     assert P.replace(P.replace(text)[0], back=True)[0] == text
 
 
+def test_texts_of_many_values_take_time_in_proportion():
+    dates = " ".join(f"{1900 + i % 200}-{1 + i % 12:02d}-{1 + i % 28:02d}" for i in range(20_000))
+    start = time.perf_counter()
+    masked, spans = P.replace(dates)
+    assert len(spans) == 20_000 and time.perf_counter() - start < 20
+    assert P.replace(masked, back=True)[0] == dates
+
+
+@pytest.mark.parametrize("value", ["0123456789abcdef" * 5_000, "0123456789ABCDEF" * 40, "u1." * 20_000 + "x@example.com"])
+def test_very_long_values(value):
+    start = time.perf_counter()
+    masked, spans = P.replace(f"key {value} end")
+    assert time.perf_counter() - start < 5
+    assert [(b, e) for b, e, _, _ in spans] == [(4, 4 + len(value))]
+    assert P.replace(masked, back=True)[0] == f"key {value} end" and P.replace(f"{value} again")[0] == masked[4 : 4 + len(value)] + " again"
+    # One changed character changes the pieces before and after it.
+    other = P.replace(f"key {value[:3]}{'b' if value[3] != 'b' else 'c'}{value[4:]} end")[0]
+    if len(spans) == 1 and len(other) == len(masked) and "@" not in value:
+        assert sum(a != b for a, b in zip(masked, other)) > len(value) // 2
+
+
+def test_query_comes_back_and_leaves_the_rest(spark):
+    """Every row of the query: what is outside the spans is untouched, what is inside is another value, and the way back gives the text."""
+    folder = "/root/testdata/sf0.001"
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    rows = pii.op9(spark, folder).collect()
+    plain = pii.Pseudonyms()
+    assert {r.doc_id for r in rows} == texts.keys() and sum(r.n_replaced for r in rows) > 0
+    for r in rows:
+        masked, spans = plain.replace(texts[r.doc_id])
+        assert (r.text, [tuple(s) for s in r.spans], r.n_replaced) == (masked, [(b, e, kind) for b, e, kind, _ in spans], len(spans))
+        assert plain.replace(r.text, back=True)[0] == texts[r.doc_id]
+        outside, last = [], 0
+        for begin, end, _, value in spans:
+            outside.append(texts[r.doc_id][last:begin])
+            assert value != texts[r.doc_id][begin:end]
+            last = end
+        rest = r.text
+        for part in [*outside, texts[r.doc_id][last:]]:
+            assert part in rest
+            rest = rest[rest.index(part) + len(part) :]
+
+
+def test_key_of_the_session(spark):
+    frame = spark.createDataFrame([(1, f"card {CARD}")], "doc_id bigint, text string")
+    assert pii.key_of(spark) == pii.DEFAULT_KEY
+    spark.conf.set(pii.KEY_SETTING, "another secret")
+    try:
+        own = pii.pseudonymise(frame, key=pii.key_of(spark)).first().text
+    finally:
+        spark.conf.unset(pii.KEY_SETTING)
+    assert own == pii.Pseudonyms(b"another secret").replace(f"card {CARD}")[0] != pii.pseudonymise(frame).first().text
+
+
 @given(st.lists(st.sampled_from([SPACED, CARD, "5500-0000-0000-0004", BE, "GB82 WEST 1234 5698 7654 32", "XX42 1234 5678 9012", FR, "212-555-0100", "2021-02-28", "12", "123", "2025", "987654", "1 2 3"]), max_size=6), st.integers(0, 9999))
 def test_neighbours_come_back(parts, number):
     text = " ".join([*parts, f"{number:04d}", *reversed(parts)])

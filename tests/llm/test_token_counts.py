@@ -62,6 +62,20 @@ def test_small_table_starts_anew(library, monkeypatch):
         assert counter.count(texts)[1].tolist() == lengths(library, texts)
 
 
+def test_states_stay_bounded_inside_a_batch(library, monkeypatch):
+    """Two megabytes of base64 and one pre-token of 200,000 letters, each in one text."""
+    draw = random.Random(7)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    base64 = "".join(draw.choices(signs, k=2_000_000))
+    letters = "".join(draw.choices(signs[:52], k=200_000))
+    monkeypatch.setattr(tc, "MAX_STATES", 40_000)
+    counter = tc.TokenCounter(PATH)
+    assert counter.count([base64])[1].tolist() == lengths(library, [base64])
+    assert len(counter.counter.states) <= 40_000
+    assert counter.count([letters, "a"])[1].tolist() == lengths(library, [letters, "a"])
+    assert len(counter.counter.states) <= 40_000
+
+
 def test_rows(spark):
     rows = [(1, "hello world", "x"), (1, "hello world", "y"), (None, None, "z"), (3, "", None), (4, "word " * 600, "w")]
     frame = spark.createDataFrame(rows, "doc_id bigint, text string, n_tokens string")

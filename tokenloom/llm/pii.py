@@ -38,8 +38,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tokenloom.llm.common import documents, query, small_batches
 
-#: Key of the permutations; a deployment gives its own secret.
+#: Key of the permutations for tests and examples. It is public: a deployment names its own secret in KEY_SETTING.
 DEFAULT_KEY = b"tokenloom-example-key"
+KEY_SETTING = "spark.tokenloom.pii.key"
 ROUNDS = 10
 
 FIRST_DAY = datetime.date(1900, 1, 1).toordinal()
@@ -75,6 +76,9 @@ class Feistel:
                 return value
 
 
+#: Longest value that is one number of a permutation; a longer one is permuted in pieces of about half that.
+LONGEST = 512
+
 LOWER, UPPER, DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 
 
@@ -85,6 +89,8 @@ def _alphabets(text: str) -> list[str]:
 def permute_characters(text: str, feistel: Feistel, tweak: bytes, back: bool, alphabets: list[str] | None = None) -> str:
     """Permute the characters, each within its own alphabet; a sign with an alphabet of one stays."""
     alphabets = alphabets or _alphabets(text)
+    if len(text) > LONGEST:
+        return _permute_long(text, feistel, tweak, back, alphabets)
     value, size = 0, 1
     for character, alphabet in zip(text, alphabets):
         value, size = value * len(alphabet) + alphabet.index(character), size * len(alphabet)
@@ -100,6 +106,25 @@ def permute_characters(text: str, feistel: Feistel, tweak: bytes, back: bool, al
     return "".join(reversed(out))
 
 
+def _permute_long(text: str, feistel: Feistel, tweak: bytes, back: bool, alphabets: list[str]) -> str:
+    """Pieces permuted from the first to the last and then from the last to the first.
+
+    The digest of what is already permuted names a piece's permutation, so every piece of the result depends on the
+    whole value, equal values stay equal, and the time grows with the length.
+    """
+    size = LONGEST // 2
+    starts = list(range(0, max(1, len(text) - size // 2), size))
+    pieces = [text[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+    kinds = [alphabets[a:b] for a, b in zip(starts, [*starts[1:], len(text)])]
+    for turn in (1, 0) if back else (0, 1):
+        digest = hashlib.sha256(tweak + bytes((turn,)) + str(len(text)).encode())
+        for i in reversed(range(len(pieces))) if turn else range(len(pieces)):
+            permuted = permute_characters(pieces[i], feistel, tweak + digest.digest(), back, kinds[i])
+            digest.update((pieces[i] if back else permuted).encode())
+            pieces[i] = permuted
+    return "".join(pieces)
+
+
 def luhn_digit(digits: str) -> str:
     """The check digit that follows ``digits``."""
     total = 0
@@ -446,9 +471,11 @@ class Pseudonyms:
         """(begin, end, kind, pseudonym) of every value, in order and without overlaps."""
         found: list[tuple[int, int, str, str]] = []
         taken: list[tuple[int, int]] = []
+        used = bytearray(len(text))
 
         def add(begin: int, end: int, kind: str, pseudonym: str | None) -> None:
-            if pseudonym is not None and all(end <= b or begin >= e for b, e in taken):
+            if pseudonym is not None:
+                used[begin:end] = b"\1" * (end - begin)
                 taken.append((begin, end))
                 found.append((begin, end, kind, pseudonym))
 
@@ -458,7 +485,7 @@ class Pseudonyms:
         if CANDIDATE.search(text):
             for kind, pattern, pseudonym in FOUND:
                 for match in pattern.finditer(text):
-                    if all(match.end() <= b or match.start() >= e for b, e in taken):
+                    if used.find(1, *match.span()) < 0:
                         add(*match.span(), kind, pseudonym(match.group(), self.feistel, back))
             found += Places(_blank(text, taken)).pseudonyms(self.feistel, back)
         return sorted(found)
@@ -500,9 +527,14 @@ def pseudonymise(df: DataFrame, text: str = "text", key: bytes = DEFAULT_KEY, sp
     return df.mapInArrow(run, schema)
 
 
+def key_of(spark: SparkSession) -> bytes:
+    """The secret that the session names; the example key, which anyone can undo, where it names none."""
+    return (spark.conf.get(KEY_SETTING, None) or DEFAULT_KEY.decode()).encode("utf-8")
+
+
 @query("op9_pii_pseudonyms")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document with pseudonyms, and what was replaced."""
-    return pseudonymise(documents(spark, folder).select("doc_id", "text"), spans="spans").selectExpr(
+    return pseudonymise(documents(spark, folder).select("doc_id", "text"), key=key_of(spark), spans="spans").selectExpr(
         "doc_id", "text", "spans", "cast(size(spans) AS bigint) AS n_replaced"
     )

@@ -32,8 +32,10 @@ from tokenloom.llm.common import documents, query, small_batches, text_column
 
 #: Characters of a block of the prefix scan.
 BLOCK = 64
-#: States of the counter that are held; beyond it the table starts anew.
+#: States of the counter that are held; beyond it the table starts anew with those in use.
 MAX_STATES = 100_000
+#: Pre-tokens that are counted together, and so states in use at once.
+TOGETHER = 16_384
 #: Most tokens of a text that is not over the limit.
 TOKEN_LIMIT = 512
 
@@ -218,22 +220,32 @@ class Counter:
                 places.append((longer, before, count))
         return tuple([*((text, before, count - change) for text, before, count in places), (b"", last, 0)]), change
 
+    def _number(self, state: tuple) -> int:
+        """The number of a state, which gets a row of the table if it is new."""
+        if state not in self.number:
+            self.number[state] = len(self.states)
+            self.states.append(state)
+            if len(self.states) > len(self.table):
+                more = np.full((len(self.table), 256), -1, np.int32)
+                self.table = np.concatenate((self.table, more))
+        return self.number[state]
+
     def compile(self, keys: np.ndarray) -> None:
         """Fill the table for keys of state * 256 + byte."""
         for key in keys.tolist():
             state, change = self._step(self.states[key >> 8], key & 255)
-            if state not in self.number:
-                self.number[state] = len(self.states)
-                self.states.append(state)
-                if len(self.states) > len(self.table):
-                    more = np.full((len(self.table), 256), -1, np.int32)
-                    self.table = np.concatenate((self.table, more))
-            self.table[key >> 8, key & 255] = self.number[state] << 8 | (change + 128)
+            number = self._number(state)
+            self.table[key >> 8, key & 255] = number << 8 | (change + 128)
 
     def count(self, raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Tokens of each pre-token raw[begin:end]; all run in lockstep, byte by byte."""
-        if len(self.states) > MAX_STATES:
-            self._restart()
+        counts = np.zeros(len(begins), np.int64)
+        for start in range(0, len(begins), TOGETHER):
+            part = slice(start, start + TOGETHER)
+            counts[part] = self._lockstep(raw, begins[part], ends[part])
+        return counts
+
+    def _lockstep(self, raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
         counts = np.zeros(len(begins), np.int64)
         active = np.flatnonzero(ends > begins)
         at, stop = begins[active], ends[active]
@@ -243,6 +255,10 @@ class Counter:
             moved = self.table.reshape(-1).take(keys)
             missing = np.unique(keys[moved < 0])
             if len(missing):
+                if len(self.states) + len(missing) > MAX_STATES:
+                    state = self._keep(state)
+                    keys = state * 256 + raw[at]
+                    missing = np.unique(keys)
                 self.compile(missing)
                 moved = self.table.reshape(-1).take(keys)
             counts[active] += (moved & 255) - 128
@@ -251,6 +267,14 @@ class Counter:
             active, at, stop, state = active[going], at[going], stop[going], (moved >> 8)[going]
         return counts
 
+    def _keep(self, used: np.ndarray) -> np.ndarray:
+        """Forget all states but the start and those in use; gives their new numbers."""
+        numbers, place = np.unique(used, return_inverse=True)
+        held = [self.states[number] for number in numbers.tolist()]
+        self._restart()
+        renamed = [self._number(state) for state in held]
+        return np.array(renamed, np.int64)[place]
+
 
 def read_vocabulary(path: str) -> tuple[dict[bytes, int], dict[tuple[bytes, bytes], int]]:
     """Tokens and merges of a byte-level vocabulary file, as bytes."""
