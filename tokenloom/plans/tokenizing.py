@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tokenloom.functions.constants import special_names
+from tokenloom.operators import language as L
 from tokenloom.operators import tokens as T
 from tokenloom.plans.prompting import ANSWERED_SQL, PROMPT_SQL, answered_prompt, open_prompt
 from tokenloom.plans.registry import (
@@ -190,3 +191,31 @@ def embed_tokens(spark, folder):
 )
 def length_stats(spark, folder):
     return T.length_stats(documents(spark, folder), F.size(T.pretokenize("text")), CUTOFF, "source")
+
+
+MASS = 10.0
+_BEFORE = "CASE WHEN i > 1 THEN ids[i - 1] ELSE -1 END AS c1, ids[i] AS id"
+
+
+@query(
+    "masked_token_loss",
+    f"""WITH {CUT_IDS}, {ids_sql('doc', 'documents', 'doc_id', 'text')},
+    seen AS MATERIALIZED (SELECT {_BEFORE} FROM (SELECT ids, unnest(range(1, len(ids) + 1)) AS i FROM doc)),
+    bi AS MATERIALIZED (SELECT c1, id, count(*) AS n FROM seen GROUP BY c1, id),
+    uni AS MATERIALIZED (SELECT id, count(*) AS n FROM seen GROUP BY id),
+    after AS MATERIALIZED (SELECT c1, count(*) AS n FROM seen GROUP BY c1),
+    labelled AS (SELECT conv_id, turn, {_BEFORE} FROM (SELECT conv_id, turn, prompt_len, ids, unnest(range(1, len(ids) + 1)) AS i FROM ended) WHERE i > prompt_len),
+    losses AS (
+      SELECT t.conv_id, t.turn, -ln((coalesce(bi.n, 0) + {MASS} * (coalesce(uni.n, 0) + 1)::DOUBLE
+               / ((SELECT count(*) FROM seen) + (SELECT r FROM base) + {len(special_names())})) / (coalesce(after.n, 0) + {MASS})) AS loss
+      FROM labelled t LEFT JOIN uni ON uni.id = t.id LEFT JOIN bi ON bi.c1 = t.c1 AND bi.id = t.id LEFT JOIN after ON after.c1 = t.c1)
+    SELECT conv_id, turn, count(*) AS n_tokens, {sql_r6('avg(loss)')} AS loss, round(exp(avg(loss)), 4) + 0.0 AS perplexity
+    FROM losses GROUP BY conv_id, turn""",
+)
+def masked_token_loss(spark, folder):
+    """Loss and perplexity of the answers' tokens; the prompts' labels are ignored."""
+    vocab, docs = encoded(spark, folder)
+    model = L.FollowerModel.fit(docs, "input_ids", vocab.size + len(special_names()), mass=MASS)
+    rows = T.tokenize_pairs(pairs(spark, folder), vocab, open_prompt(), answered_prompt(), PAIR_KEY, CUTOFF, mask_prompt=True)
+    found = L.masked_loss(model.token_losses(rows, PAIR_KEY, "input_ids", "labels"), PAIR_KEY)
+    return found.select(*PAIR_KEY, "n_tokens", r6("loss").alias("loss"), F.round("perplexity", 4).alias("perplexity"))
