@@ -96,3 +96,31 @@ def test_step_plan_and_rank_summary(spark):
     assert set(rows) == {0, 1, 2} and rows[0].tokens == 96 and rows[0].batches == 8
     summary = B.rank_summary(B.rank_shards(spark.range(100), ["id"], 3), 32).collect()
     assert {(r["rank"], r.batch_size, r.steps) for r in summary} == {(0, 32, 2), (1, 32, 2), (2, 32, 2)}
+
+
+def test_batches_of_rows_without_or_with_equal_keys(spark):
+    from tokenloom.plans.batches import batched
+
+    rows = [(None, None, [i]) for i in range(7)] + [(1, 2, [50 + i]) for i in range(9)] + [(1, None, [90]), (5, 5, None)]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, input_ids array<int>").repartition(3)
+    got = batched(df).collect()
+    assert sorted(str(r.input_ids) for r in got) == sorted(str(ids) for *_, ids in rows)
+    sizes = [sum(r.batch_id == b for r in got) for b in {r.batch_id for r in got}]
+    assert sum(sizes) == len(rows) and len({r.batch_id for r in got}) == -(-len(rows) // max(sizes))
+
+
+def test_packing_a_row_without_ids(spark):
+    df = spark.createDataFrame([(1, [5, 6]), (2, None), (3, []), (4, [7])], "id bigint, ids array<int>")
+    got = {r.chunk: r.input_ids for r in B.pack_sequences(df, "id", "ids", 3, 0).collect()}
+    assert got == {0: [5, 6, 0], 1: [0, 0, 7]}
+
+
+def test_padding_to_a_maximum_length(spark, monkeypatch):
+    df = spark.createDataFrame([(1, [5, 6, 7], [1, 1, 1]), (2, [8], [1]), (3, [], [])], "id bigint, input_ids array<int>, attention_mask array<int>")
+    whole = {r.id: (r.input_ids, r.attention_mask) for r in B.pad_max_length(df, 9).collect()}
+    assert whole == {1: ([5, 6, 7], [1, 1, 1]), 2: ([9, 9, 8], [0, 0, 1]), 3: ([9, 9, 9], [0, 0, 0])}
+    assert {r.id: r.input_ids for r in B.pad_max_length(df, 9, 2, side="right").collect()} == {1: [5, 6], 2: [8, 9], 3: [9, 9]}
+    monkeypatch.setattr(B, "MAX_PADDED", 2)
+    with pytest.raises(ValueError, match="maximum length"):
+        B.pad_max_length(df, 9)
+    assert B.pad_max_length(df.limit(0), 9).collect() == []

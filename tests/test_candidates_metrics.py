@@ -110,6 +110,35 @@ def test_generation_matches_a_plain_loop(spark, penalty, min_length):
             assert r.tokens == plain_greedy(groups, dict(prompts)[r.id].split(), 6, penalty, min_length)
 
 
+def test_a_long_prompt_lengthens_only_its_own_lists(spark, monkeypatch):
+    rng = random.Random(6)
+    words = [a + b for a in "abcde" for b in "uvwxyz"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(2, 12))) for _ in range(150)]
+    table = N.next_token_scores(spark.createDataFrame([(t,) for t in texts], "text string"), end_token=END)
+    groups = {}
+    for r in table.collect():
+        groups.setdefault(r.ctx, []).append((r.token, r.score))
+    prompts = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 4)))) for i in range(20)] + [(20, " ".join(words * 2)), (21, "")]
+    df = spark.createDataFrame(prompts, "id bigint, text string")
+    lengths, plain = [], N.prepare_options
+
+    def watched(scores, size):
+        lengths.append(size)
+        return plain(scores, size)
+
+    monkeypatch.setattr(N, "prepare_options", watched)
+    monkeypatch.setattr(N, "HISTORIES", (4, 16))
+    for broadcast in (N.BROADCAST_OPTIONS, 0):
+        monkeypatch.setattr(N, "BROADCAST_OPTIONS", broadcast)
+        lengths.clear()
+        got = N.generate(df, table, ["id"], "text", END, 4, k=1, penalty=3.0, stage_every=2).collect()
+        assert sorted(lengths) == [1 + 3 + 4 + 1, 1 + 30 + 4 + 1]
+        assert sorted(r.id for r in got) == list(range(22))
+        for r in got:
+            want = plain_greedy(groups, dict(prompts)[r.id].split(), 4, 3.0, 0) if r.id != 21 else []
+            assert r.tokens == want
+
+
 def test_sampled_generation_is_repeatable_and_stays_in_the_nucleus(spark):
     df = spark.createDataFrame([("a b",)] * 6 + [("a c",)] * 3 + [("a d",)], "text string")
     table = N.next_token_scores(df, end_token=END)

@@ -112,3 +112,32 @@ def test_split_is_exact_where_keys_repeat(spark):
             assert sorted(str((r.k, r.v, r.m)) for r in got) == sorted(map(str, rows))
             again = S.split_exact(df.repartition(5), ["k"], n).collect()
             assert sorted(map(str, again)) == sorted(map(str, got))
+
+
+def test_large_takes_are_cut_at_the_border(spark, monkeypatch):
+    monkeypatch.setattr(S, "TOP_N_ROWS", 5)
+    rows = [(i % 7 if i % 5 else None, f"k{i % 40:02d}" if i % 11 else None, i) for i in range(300)] + [(3, "k01", 500)] * 30
+    df = spark.createDataFrame(rows, "a int, b string, id int").repartition(6)
+    for order in (["a", "b"], ["b", "a"], ["b"], ["id"]):
+        places = [df.columns.index(name) for name in order]
+        want = sorted(([row[i] for i in places] for row in rows), key=lambda v: [(x is not None, x if x is not None else "") for x in v])
+        for n in (6, 90, 329, 400):
+            got = S.take_n(df, order, n)
+            assert got.columns == df.columns
+            found = sorted(([r[name] for name in order] for r in got.collect()), key=lambda v: [(x is not None, x if x is not None else "") for x in v])
+            assert found == want[:n]
+
+
+def test_large_samples_shuffle_the_head_only(spark, monkeypatch):
+    df = spark.range(5000)
+    want = [r.id for r in df.withColumn("o", ordkey(42, "id")).orderBy("o", "id").limit(700).collect()]
+    monkeypatch.setattr(S, "TOP_N_ROWS", 5)
+    assert sorted(r.id for r in S.sample_n(df, ["id"], 700).collect()) == sorted(want)
+    assert S.sample_n(df, ["id"], 6000).count() == 5000
+    assert sorted(r.id for r in S.percent_slice(df, "id", 2.5).collect()) == list(range(125))
+
+
+def test_positions_of_rows_that_share_keys(spark):
+    df = spark.createDataFrame([(1, i) for i in range(20)] + [(None, i) for i in range(20)], "k int, row int")
+    placed = P.shuffled_positions(df, ["k"], ties=["row"]).collect()
+    assert sorted(r.pos for r in placed) == list(range(40))

@@ -136,7 +136,7 @@ def test_streams_read_every_file_once(spark, tmp_path):
 
     def run():
         stream = streams.stream_table(spark, folder, "docs", table.schema, max_files=1)
-        return streams.run_to_table(streams.stream_tokenize(stream, vocab), f"{folder}/out")
+        return streams.stream_tokenize(stream, vocab, f"{folder}/out")
 
     want = {r.doc_id: r.i for r in table.select("doc_id", vocab.ids(pretokenize("text")).alias("i")).collect()}
     assert {r.doc_id: r.input_ids for r in run().collect()} == want
@@ -145,6 +145,20 @@ def test_streams_read_every_file_once(spark, tmp_path):
     assert run().count() == 60
 
 
+def test_stream_with_a_large_vocabulary_is_joined(spark, tmp_path, monkeypatch):
+    folder = str(tmp_path)
+    table = spark.range(12).select(F.col("id").alias("doc_id"), F.concat(F.lit("word the "), "id").alias("text"))
+    table.repartition(3).write.parquet(f"{folder}/docs.parquet")
+    vocab = Vocabulary.build(table)
+    want = {r.doc_id: r.i for r in table.select("doc_id", vocab.ids(pretokenize("text")).alias("i")).collect()}
+    monkeypatch.setattr("tokenloom.operators.tokens.MAX_LOCAL_PIECES", 3)
+    vocab = Vocabulary.build(table)
+    assert not vocab.is_local
+    for _ in range(2):  # the second run finds nothing new
+        stream = streams.stream_table(spark, folder, "docs", table.schema, max_files=1)
+        assert {r.doc_id: r.input_ids for r in streams.stream_tokenize(stream, vocab, f"{folder}/out").collect()} == want
+
+
 def test_missing_blob(spark):
     blobs = spark.createDataFrame([("a", "x")], "name string, content string")
     manifest = spark.createDataFrame([("a", 1), ("b", 2)], "name string, label int")

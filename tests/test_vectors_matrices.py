@@ -220,3 +220,32 @@ def test_gated_score(spark):
     got = np.array([r.y for r in matrix(spark, x).select("i", MX.batch_score(F.col("vec"), w1, w3, w2).alias("y")).orderBy("i").collect()])
     gate = x @ w1
     assert np.allclose(got, (gate / (1 + np.exp(-gate)) * (x @ w3)) @ w2)
+
+
+def test_labels_that_are_no_places(spark):
+    """Labels 0, 5 and 70: the class is the place in the matrix, the answer the label."""
+    df = spark.createDataFrame([(5, [0.0, 2.0]), (0, [3.0, 0.0]), (70, [-1.0, -1.0]), (None, [9.0, 9.0])], "label int, vec array<double>")
+    labels, weights = MX.labelled_matrix(df, "label", "vec")
+    assert labels == [0, 5, 70] and weights.tolist() == [[3, 0], [0, 2], [-1, -1]]
+    rows = df.withColumn("logits", MX.matmul(F.col("vec"), weights.T))
+    rows = rows.select("label", MX.label_of(V.argmax(F.col("logits")), labels).alias("pred"), V.cross_entropy(F.col("logits"), MX.class_of(F.col("label"), labels)).alias("loss"), "logits")
+    for r in rows.collect():
+        if r.label is None:
+            assert r.loss is None
+        else:
+            assert r.pred == r.label
+            assert math.isclose(r.loss, math.log(sum(map(math.exp, r.logits))) - r.logits[labels.index(r.label)])
+
+
+def test_reductions_in_one_pass(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(40, 5))
+    df = spark.createDataFrame([(i, x[i].tolist()) for i in range(40)], "id int, vec array<double>").repartition(3)
+    got = {(r.how, r.axis, r["at"]): r.value for r in MX.reduce_all(df, "id", "vec", ["mean", "sum", "min", "max"], 5).collect()}
+    for how in ("mean", "sum", "min", "max"):
+        assert math.isclose(got[how, "all", -1], getattr(x, how)())
+        assert np.allclose([got[how, "columns", i] for i in range(5)], getattr(x, how)(axis=0))
+        assert np.allclose([got[how, "rows", i] for i in range(40)], getattr(x, how)(axis=1))
+    assert len(got) == 4 * 46 and MX.reduce_all(df.limit(0), "id", "vec", ["mean", "max"], 5).collect() == []
+    with pytest.raises(Exception, match="expected a vector"):
+        MX.reduce_all(df, "id", "vec", ["sum"], 4).collect()

@@ -16,9 +16,9 @@ def _div(a: Column, b: Column | int) -> Column:
     return F.floor(a / b).cast("bigint")
 
 
-def minibatch(df: DataFrame, keys: Sequence[str], batch_size: int = 64, seed: int = 42, drop_last: bool = False) -> DataFrame:
-    """Add ``pos`` and ``batch_id`` over a seeded shuffle; ``drop_last`` leaves out the short batch."""
-    placed = shuffled_positions(df, keys, seed, "pos", "_n")
+def minibatch(df: DataFrame, keys: Sequence[str], batch_size: int = 64, seed: int = 42, drop_last: bool = False, ties: Sequence[str] = ()) -> DataFrame:
+    """Add ``pos`` and ``batch_id`` over a seeded shuffle; ``drop_last`` leaves out the short batch, ``ties`` tell rows of equal keys apart."""
+    placed = shuffled_positions(df, keys, seed, "pos", "_n", ties=ties)
     if drop_last:
         placed = placed.where(F.col("pos") < F.floor(F.col("_n") / batch_size) * batch_size)
     return placed.withColumn("batch_id", _div(F.col("pos"), batch_size)).drop("_n")
@@ -73,13 +73,35 @@ def pad_batch(
     return pad_to(df, (F.ceil(longest / multiple) * multiple).cast("int"), pad_id, side, ids, mask, labels)
 
 
+#: Longest row that ``pad_max_length`` pads a table to when no length is given.
+MAX_PADDED = 16_384
+
+
+def pad_max_length(df: DataFrame, pad_id: int, max_length: int | None = None, side: str = "left", ids: str = "input_ids",
+                   mask: str = "attention_mask", labels: str | None = "labels") -> DataFrame:
+    """Pad every row to ``max_length``, cutting longer ones, or to the longest row of the table.
+
+    Without a length one long row multiplies the bytes of all others, so a table whose longest row has more than
+    MAX_PADDED ids is refused. ``df`` is read twice then; stage it first when it is costly.
+    """
+    if max_length is None:
+        max_length = df.agg(F.max(F.size(ids))).first()[0] or 0
+        if max_length > MAX_PADDED:
+            raise ValueError(f"the longest row has {max_length} ids: give a maximum length")
+    lists = [ids, mask, *([labels] if labels and labels in df.columns else [])]
+    cut = df.withColumns({name: F.slice(name, 1, max_length) for name in lists}) if max_length else df
+    return pad_to(cut, F.lit(max_length), pad_id, side, ids, mask, labels)
+
+
 def pack_sequences(df: DataFrame, key: str, ids: str, chunk_size: int, eos_id: int) -> DataFrame:
     """Join all rows in key order, an end marker after each, and cut into whole chunks.
 
     Returns (chunk, input_ids) with exactly ``chunk_size`` ids; the tail is dropped. A row
-    is cut where it crosses a chunk border, so no task holds more than its chunks.
+    is cut where it crosses a chunk border, so no task holds more than its chunks. A row with NULL
+    ids is an empty one: its end marker only.
     """
-    ended = df.select(key, F.concat(F.col(ids), F.array(F.lit(eos_id))).alias("_ids")).withColumn("_len", F.size("_ids"))
+    known = F.coalesce(F.col(ids), F.array().cast(df.schema[ids].dataType))
+    ended = df.select(key, F.concat(known, F.array(F.lit(eos_id))).alias("_ids")).withColumn("_len", F.size("_ids"))
     # The ids are computed once; the totals then read only the key and length columns.
     placed = key_positions(stage(ended, "pack"), key, "_from", weight=F.col("_len"))
     first = _div(F.col("_from"), chunk_size)

@@ -14,6 +14,11 @@ from tokenloom.session import stage
 
 # Width of the score bands in log_sum_exp_by; far below the overflow of exp.
 BAND = 64
+# Most rows of a table of sums, and most options of all lists together, that are broadcast; their size is counted first.
+BROADCAST_SUMS = 2_000_000
+BROADCAST_OPTIONS = 500_000
+# Prompts are continued apart by the number of distinct pieces in them, so a long one lengthens no other's option lists.
+HISTORIES = (64, 512, 4_096)
 
 
 def next_token_scores(df: DataFrame, text: str = "text", end_token: str | None = None) -> DataFrame:
@@ -50,8 +55,10 @@ def log_sum_exp_by(df: DataFrame, keys: Sequence[str], score: Column, out: str =
 
 def softmax_by(df: DataFrame, keys: Sequence[str], score: Column, out: str = "prob") -> DataFrame:
     """Softmax of a score over all rows of a key."""
-    whole = log_sum_exp_by(df, keys, score, "_lse")
-    return df.join(whole, list(keys)).withColumn(out, F.exp(score - F.col("_lse"))).drop("_lse")
+    whole = stage(log_sum_exp_by(df, keys, score, "_lse"), "sums")
+    # A hot key is hot in ``df`` only; a small table of sums goes to the rows instead.
+    small = whole.count() <= BROADCAST_SUMS
+    return df.join(F.broadcast(whole) if small else whole, list(keys)).withColumn(out, F.exp(score - F.col("_lse"))).drop("_lse")
 
 
 def temperature(df: DataFrame, value: float = 1.0) -> DataFrame:
@@ -170,19 +177,52 @@ def generate(
 
     Every step joins the last token with its option list. Options are cut to a size that
     cannot change the result: the penalty can push out at most the tokens already seen, so
-    k + (longest history) + 1 options always hold the k best that remain. ``prepared`` lists
-    are used when they are that long, otherwise longer ones are built from ``scores``.
+    k + (pieces seen) + max_new_tokens + 1 options always hold the k best that remain. Prompts are dealt to
+    classes of similar history (``HISTORIES``), each with lists of its own length. ``prepared`` lists
+    are used where they are that long, otherwise longer ones are built from ``scores``.
     """
     if penalty < 1.0:
         raise ValueError("a penalty below 1 would raise options outside the list")
     pieces = pretokenize(text)
     start = prompts.select(*keys, F.array_distinct(pieces).alias("_seen"), F.try_element_at(pieces, F.lit(-1)).alias("ctx"), F.size(pieces).alias("_len"))
     start = start.withColumn("tokens", F.array().cast("array<string>"))
-    wanted = k + 1
-    if penalty > 1.0:
-        wanted += (start.agg(F.max(F.size("_seen"))).first()[0] or 0) + max_new_tokens
-    options = prepared[0] if prepared and prepared[1] >= wanted else prepare_options(scores, wanted)[0]
-    state = start
+    options_for = {
+        "end_token": end_token, "min_length": min_length, "do_sample": do_sample, "heat": heat, "k": k, "p": p, "penalty": penalty, "seed": seed,
+    }
+    if penalty == 1.0:
+        return _continue(start, _options(scores, k + 1, prepared), keys, max_new_tokens, stage_every, **options_for)
+    start = stage(start, "prompts")
+    size = F.coalesce(F.size("_seen"), F.lit(0))
+    group = F.lit(len(HISTORIES))
+    for i, bound in reversed(list(enumerate(HISTORIES))):
+        group = F.when(size <= bound, i).otherwise(group)
+    longest = {row["class"]: row.longest for row in start.groupBy(group.alias("class")).agg(F.max(size).alias("longest")).collect()}
+    done = None
+    for number in sorted(longest):
+        part = start.where(group == number)
+        own = _continue(part, _options(scores, k + longest[number] + max_new_tokens + 1, prepared), keys, max_new_tokens, stage_every, **options_for)
+        done = own if done is None else done.unionByName(own)
+    return start.select(*keys, "tokens") if done is None else done
+
+
+def _options(scores: DataFrame, wanted: int, prepared: tuple[DataFrame, int] | None) -> DataFrame:
+    return prepared[0] if prepared and prepared[1] >= wanted else prepare_options(scores, wanted)[0]
+
+
+def _with_options(state: DataFrame, options: DataFrame, keys: Sequence[str], small: bool, salts: int = 16) -> DataFrame:
+    """The rows with the option list of ``_on``. A frequent last piece is hot: small lists are broadcast, large ones copied to salts."""
+    if small:
+        return state.join(F.broadcast(options), "_on", "left")
+    salted = state.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
+    copies = options.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(copies, ["_on", "_salt"], "left").drop("_salt")
+
+
+def _continue(
+    state: DataFrame, options: DataFrame, keys: Sequence[str], max_new_tokens: int, stage_every: int, end_token: str, min_length: int,
+    do_sample: bool, heat: float, k: int, p: float, penalty: float, seed: int,
+) -> DataFrame:
+    small = (options.agg(F.sum(F.size("options"))).first()[0] or 0) <= BROADCAST_OPTIONS
     for step in range(max_new_tokens):
         u = uniform(seed, *keys, F.lit(step))
         history = F.concat(F.col("_seen"), F.col("tokens"))
@@ -190,7 +230,7 @@ def generate(
         # A finished row has no context: it joins on a text no piece can equal (pieces never
         # mix a control character and digits), which also spreads the finished rows.
         nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string"))
-        state = state.withColumn("_on", F.coalesce("ctx", nowhere)).join(options, "_on", "left").withColumn("_next", chosen)
+        state = _with_options(state.withColumn("_on", F.coalesce("ctx", nowhere)), options, keys, small).withColumn("_next", chosen)
         state = state.withColumn("ctx", F.when(F.col("_next") != end_token, F.col("_next")))
         state = state.withColumn("tokens", F.when(F.col("ctx").isNotNull(), F.concat("tokens", F.array("ctx"))).otherwise(F.col("tokens")))
         state = state.drop("options", "_next", "_on")

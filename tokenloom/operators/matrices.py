@@ -55,6 +55,24 @@ def matmul_cells(a: DataFrame, b: DataFrame, salts: int = 16) -> DataFrame:
     return met.groupBy("i", "j").agg(F.sum(F.col("x") * F.col("y")).alias("v"))
 
 
+def labelled_matrix(df: DataFrame, row: str, vec: str) -> tuple[list, np.ndarray]:
+    """The values of ``row`` in order and the matrix of their vectors: class ``i`` of the matrix is the i-th value."""
+    held = df.agg(F.sum(F.size(vec))).first()[0] or 0
+    if held > MAX_LOCAL_WEIGHTS:
+        raise ValueError(f"{held} weights are too many to ship")
+    rows = sorted(df.select(row, vec).where(F.col(row).isNotNull()).collect(), key=lambda r: r[0])
+    return [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
+
+
+def class_of(label: Column, labels: Sequence) -> Column:
+    """Place of a label among ``labels``; NULL for one that is not there."""
+    return F.nullif(F.array_position(F.lit(list(labels)), label), F.lit(0)) - 1
+
+
+def label_of(place: Column, labels: Sequence) -> Column:
+    return F.get(F.lit(list(labels)), place)
+
+
 def weights_matrix(df: DataFrame, row: str, vec: str) -> np.ndarray:
     """A small weight table as a matrix, rows in the order of ``row``; its size is checked first."""
     held = df.agg(F.sum(F.size(vec))).first()[0] or 0
@@ -101,6 +119,35 @@ def tensor_reduce(df: DataFrame, key: str, vec: str, how: str, dim: int | None,
     return result.withColumn("value", F.array("value")) if keepdim else result
 
 
+def reduce_all(df: DataFrame, key: str, vec: str, hows: Sequence[str], width: int) -> DataFrame:
+    """Rows (how, axis, at, value) of several reductions: over all cells, per column and per row.
+
+    One pass aggregates all columns side by side, without a row per cell; the whole follows from the columns. Rows are a
+    projection. Vectors must have ``width`` values.
+    """
+    over = {"mean": F.sum, "sum": F.sum, "min": F.min, "max": F.max}
+    wrong = F.raise_error(F.concat(F.lit(f"expected a vector of {width} values, got "), F.size(vec).cast("string")))
+    checked = df.withColumn(vec, F.when(F.size(vec) != width, wrong).otherwise(F.col(vec)))
+    sums = checked.agg(F.count(vec).alias("_n"), *[F.array(*[over[how](F.get(vec, F.lit(i))) for i in range(width)]).alias(f"_{how}") for how in hows])
+
+    def columns(how: str) -> Column:
+        return F.transform(f"_{how}", lambda x: x / F.col("_n")) if how == "mean" else F.col(f"_{how}")
+
+    def whole(how: str) -> Column:
+        return {"mean": mean, "sum": total, "min": F.array_min, "max": F.array_max}[how](columns(how))
+
+    listed = F.array(*[
+        F.struct(F.lit(how).alias("how"), F.lit(axis).alias("axis"), (F.array(whole(how)) if axis == "all" else columns(how)).alias("values"))
+        for how in hows for axis in ("all", "columns")
+    ])
+    flat = sums.where("_n > 0").select(F.explode(listed).alias("_r")).select("_r.how", "_r.axis", F.posexplode("_r.values").alias("_k", "value"))
+    flat = flat.select("how", "axis", F.when(F.col("axis") == "all", -1).otherwise(F.col("_k")).cast("bigint").alias("at"), "value")
+    per_row = {"mean": mean, "sum": total, "min": F.array_min, "max": F.array_max}
+    own = F.array(*[F.struct(F.lit(how).alias("how"), per_row[how](F.col(vec)).alias("value")) for how in hows])
+    rows = df.select(F.col(key).cast("bigint").alias("at"), F.explode_outer(own).alias("_r"))
+    return flat.unionByName(rows.select("_r.how", F.lit("rows").alias("axis"), "at", "_r.value"))
+
+
 def reshape(grid: DataFrame, columns: int, new_rows: int, new_columns: int) -> DataFrame:
     """View a cell table with ``columns`` columns as (new_rows, new_columns); -1 is inferred.
 

@@ -30,12 +30,14 @@ def positions(
     total: str | None = None,
     weight: Column | None = None,
     group: Sequence[str] = (),
+    below: int | None = None,
 ) -> DataFrame:
     """Add the 0-based position (or the sum of the weights before the row) in ``order``.
 
     ``bucket`` must not fall when ``order`` rises, and ``order`` must be unique within
     a group. ``total`` names a column for the row count (or whole weight) of the group.
-    NULL is a group, a bucket and a key like any other and comes first.
+    NULL is a group, a bucket and a key like any other and comes first. ``below`` keeps the rows
+    whose position is smaller; buckets that begin beyond it leave before the shuffle.
     """
     weight = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
     group = list(group)
@@ -52,6 +54,8 @@ def positions(
     # broadcast is bounded. Group counts have no bound: Spark chooses the join.
     starts = starts.toDF(*[f"_at_{name}" if name in (*group, "_bucket") else name for name in starts.columns])
     starts = starts if group else F.broadcast(starts)
+    if below is not None:
+        starts = starts.where(F.col("_start") < below)
     same = F.lit(True)
     for name in [*group, "_bucket"]:
         same = same & F.col(name).eqNullSafe(F.col(f"_at_{name}"))
@@ -59,6 +63,8 @@ def positions(
     placed = rows.join(starts, same).withColumn(
         out, F.col("_start") + F.sum("_weight").over(inside) - F.col("_weight")
     )
+    if below is not None:
+        placed = placed.where(F.col(out) < below)
     return placed.drop("_bucket", "_start", "_weight", *[f"_at_{name}" for name in [*group, "_bucket"]])
 
 
@@ -69,10 +75,12 @@ def shuffled_positions(
     out: str = "pos",
     total: str | None = None,
     group: Sequence[str] = (),
+    ties: Sequence[str] = (),
+    below: int | None = None,
 ) -> DataFrame:
-    """Position in the seeded random order of the rows; ``keys`` identify a row."""
+    """Position in the seeded random order of the rows; ``keys``, with ``ties`` where they repeat, identify a row."""
     keyed = df.withColumn("_ordkey", ordkey(seed, *keys))
-    placed = positions(keyed, ["_ordkey", *keys], hash_bucket(F.col("_ordkey")), out, total, group=group)
+    placed = positions(keyed, ["_ordkey", *keys, *ties], hash_bucket(F.col("_ordkey")), out, total, group=group, below=below)
     return placed.drop("_ordkey")
 
 
@@ -106,7 +114,8 @@ def key_positions(
     total: str | None = None,
     weight: Column | None = None,
     group: Sequence[str] = (),
+    below: int | None = None,
 ) -> DataFrame:
     """Position in the order of a unique numeric key (the stored order)."""
-    placed = positions(with_key_bucket(df, key), [key], "_range", out, total, weight, group)
+    placed = positions(with_key_bucket(df, key), [key], "_range", out, total, weight, group, below)
     return placed.drop("_range")

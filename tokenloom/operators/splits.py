@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from tokenloom.functions.order import ordkey
-from tokenloom.operators.positions import key_positions, shuffled_positions
+from tokenloom.operators.positions import key_positions, positions, shuffled_positions, with_key_bucket
 from tokenloom.session import stage
 
 # Above this many rows a sample is cut by position instead of a top-n on the driver.
@@ -54,19 +56,30 @@ def sample_n(df: DataFrame, keys: Sequence[str], n: int, seed: int = 42) -> Data
     """Exactly ``n`` rows drawn without replacement (all rows when there are fewer)."""
     if n <= TOP_N_ROWS:
         return df.orderBy(ordkey(seed, *keys), *keys).limit(n)
-    return shuffled_positions(df, keys, seed, "_pos").where(F.col("_pos") < n).drop("_pos")
+    # Only the rows of buckets up to the border's are shuffled.
+    return shuffled_positions(df, keys, seed, "_pos", below=n).drop("_pos")
 
 
 def take_n(df: DataFrame, order: Sequence[str], n: int) -> DataFrame:
-    """First ``n`` rows in ``order``, whatever ``n`` and the columns are."""
-    return df.orderBy(*order).limit(n)
+    """First ``n`` rows in ``order``, NULL first, whatever ``n`` and the columns are.
+
+    A large ``n`` is cut at the position of the border: rows fall into ranges of the first column, and only those of the ranges
+    up to the border's are shuffled. Rows that agree in ``order`` are told apart by a number, so exactly ``n`` come.
+    """
+    if n <= TOP_N_ROWS:
+        return df.orderBy(*order).limit(n)
+    numbered = stage(df.withColumn("_take_row", F.monotonically_increasing_id()), "take-rows")
+    kind = numbered.schema[order[0]].dataType
+    # A number that never falls when the column rises.
+    first = F.conv(F.rpad(F.hex(F.substring(F.col(order[0]).cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("double") if isinstance(kind, StringType) else F.col(order[0]).cast("double")
+    ranged = with_key_bucket(numbered.withColumn("_take_first", first), "_take_first")
+    return positions(ranged, [*order, "_take_row"], "_range", "_take_pos", below=n).drop("_range", "_take_first", "_take_pos", "_take_row")
 
 
 def percent_slice(df: DataFrame, key: str, percent: float) -> DataFrame:
     """First ``percent`` of the rows in key order, the count rounded half up."""
-    placed = key_positions(df, key, "_pos", "_n")
-    cut = F.floor(F.col("_n") * F.lit(float(percent)) / 100.0 + 0.5)
-    return placed.where(F.col("_pos") < cut).drop("_pos", "_n")
+    cut = math.floor(df.count() * float(percent) / 100.0 + 0.5)
+    return key_positions(df, key, "_pos", below=cut).drop("_pos")
 
 
 def sampler(df: DataFrame, key: str, random: bool = False, seed: int = 42) -> DataFrame:

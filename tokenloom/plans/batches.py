@@ -51,12 +51,18 @@ def tokenized(spark, folder, **options):
     return tokenize_pairs(pairs(spark, folder), vocab, open_prompt(), answered_prompt(), PAIR_KEY, CUTOFF, **options)
 
 
+def batched(rows):
+    """Rows with their ``batch_id``: the ids are staged with a row number, so rows without a key and rows that share one keep
+    their own batch, and the position passes read the narrow columns only."""
+    numbered = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "tokenized")
+    batches = B.minibatch(numbered.select(*PAIR_KEY, "_row"), PAIR_KEY, SMALL, SEED, ties=["_row"])
+    return numbered.join(batches.select("_row", "batch_id"), "_row").drop("_row")
+
+
 @query("pad_batch", PADDED_SQL)
 def pad_batch(spark, folder):
-    # Batches depend on the keys alone, so the position passes never touch the texts.
-    batches = B.minibatch(pairs(spark, folder).select(*PAIR_KEY), PAIR_KEY, SMALL, SEED)
-    rows = tokenized(spark, folder, mask_prompt=True).select(*PAIR_KEY, "input_ids", "attention_mask", "labels")
-    padded = B.pad_batch(rows.join(batches, PAIR_KEY), pad_id=0, multiple=8, side="left")
+    rows = batched(tokenized(spark, folder, mask_prompt=True).select(*PAIR_KEY, "input_ids", "attention_mask", "labels"))
+    padded = B.pad_batch(rows, pad_id=0, multiple=8, side="left")
     return padded.select(
         *PAIR_KEY, "batch_id", F.size("input_ids").cast("bigint").alias("width"), joined("input_ids").alias("ids"),
         joined("attention_mask").alias("mask"), joined("labels").alias("labels"),
@@ -87,8 +93,7 @@ def prompt_ids(spark, folder, cutoff: int | None = None):
 )
 def pad_longest(spark, folder):
     vocab, rows = prompt_ids(spark, folder)
-    batches = B.minibatch(pairs(spark, folder).select(*PAIR_KEY), PAIR_KEY, SMALL, SEED)
-    padded = B.pad_batch(rows.join(batches, PAIR_KEY), vocab.eos_id, multiple=1, side="right")
+    padded = B.pad_batch(batched(rows), vocab.eos_id, multiple=1, side="right")
     ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return padded.select(*PAIR_KEY, "batch_id", joined("input_ids").alias("ids"), ones.alias("mask_sum"))
 
@@ -102,8 +107,7 @@ def pad_longest(spark, folder):
 def pad_max_length(spark, folder):
     vocab, rows = prompt_ids(spark, folder)
     rows = stage(rows, "prompt-ids")
-    longest = rows.agg(F.max(F.size("input_ids"))).first()[0] or 0
-    padded = B.pad_to(rows, F.lit(longest), vocab.eos_id, side="left")
+    padded = B.pad_max_length(rows, vocab.eos_id)
     ones = F.aggregate("attention_mask", F.lit(0).cast("bigint"), lambda a, x: a + x)
     return padded.select(*PAIR_KEY, joined("input_ids").alias("ids"), ones.alias("mask_sum"))
 

@@ -14,13 +14,17 @@ from tokenloom.plans.registry import CELLS_SQL, PAIR_KEY, PAIRS_SQL, SEED, embed
 from tokenloom.sources.readers import read_table
 
 BATCH = 64
+#: Values of an embedding.
+SIZE = 64
 
 
 def scored_embeddings(spark, folder):
     """Rows with logits: the vector times the mean vector of every label."""
     rows = embeddings(spark, folder)
-    weights = MX.weights_matrix(MX.mean_vectors(rows, "vec", "label"), "label", "vec")
-    return rows.withColumn("logits", MX.matmul(F.col("vec"), weights.T))
+    labels, weights = MX.labelled_matrix(MX.mean_vectors(rows, "vec", "label"), "label", "vec")
+    rows = rows.withColumn("logits", MX.matmul(F.col("vec"), weights.T))
+    # A class is the place of its label in the matrix; the two differ as soon as a number is missing.
+    return rows.withColumns({"class": MX.class_of(F.col("label"), labels), "pred": MX.label_of(V.argmax(F.col("logits")), labels)})
 
 
 SCORED_SQL = f"""{CELLS_SQL},
@@ -44,7 +48,7 @@ def row_counts(spark, folder):
 )
 def eval_loss_accuracy(spark, folder):
     scored = scored_embeddings(spark, folder).select(
-        "vec_id", "label", V.argmax(F.col("logits")).alias("pred"), V.cross_entropy(F.col("logits"), F.col("label")).alias("loss")
+        "vec_id", "label", "pred", V.cross_entropy(F.col("logits"), F.col("class")).alias("loss")
     )
     result = M.eval_loss_accuracy(sequential_batches(scored, "vec_id", BATCH))
     return result.select("row_count", "batches", *[r6(c).alias(c) for c in ("accuracy", "avg_loss_batches", "avg_loss_rows")])
@@ -67,15 +71,8 @@ UNION ALL SELECT {how}, 'rows', vec_id, {all} FROM cells GROUP BY vec_id"""
 
 
 def reduced(spark, folder, hows):
-    rows = embeddings(spark, folder)
-    result = None
-    for how in hows:
-        whole = MX.tensor_reduce(rows, "vec_id", "vec", how, None).select(F.lit("all").alias("axis"), F.lit(-1).cast("bigint").alias("at"), "value")
-        columns = MX.tensor_reduce(rows, "vec_id", "vec", how, 0).select(F.lit("columns").alias("axis"), F.col("k").cast("bigint").alias("at"), "value")
-        per_row = MX.tensor_reduce(rows, "vec_id", "vec", how, 1).select(F.lit("rows").alias("axis"), F.col("vec_id").alias("at"), "value")
-        part = whole.unionByName(columns).unionByName(per_row).select(F.lit(how).alias("how"), "axis", "at", r6("value").alias("value"))
-        result = part if result is None else result.unionByName(part)
-    return result
+    rows = MX.reduce_all(embeddings(spark, folder), "vec_id", "vec", hows, SIZE)
+    return rows.select("how", "axis", "at", r6("value").alias("value"))
 
 
 @query("tensor_mean", f"WITH {CELLS_SQL} " + REDUCE_SQL.format(how="'mean'", all=sql_r6("avg(x)")))
@@ -122,7 +119,7 @@ def loss_columns(spark, folder):
     both = rows.withColumn("prob", V.softmax(F.col("logits")))
     return both.select(
         "vec_id", "label",
-        r6(V.cross_entropy(F.col("logits"), F.col("label"))).alias("cross_entropy"),
-        r6(V.negative_log_likelihood(F.col("prob"), F.col("label"))).alias("nll"),
+        r6(V.cross_entropy(F.col("logits"), F.col("class"))).alias("cross_entropy"),
+        r6(V.negative_log_likelihood(F.col("prob"), F.col("class"))).alias("nll"),
         r6(V.squared_error(F.col("vec"), F.col("center"))).alias("squared_error"),
     )

@@ -51,5 +51,5 @@ def stream_answers(spark, folder):
 
 @query("stream_tokenize", f"WITH {DOC_IDS} SELECT doc_id, array_to_string(ids, ' ') AS ids FROM ids")
 def stream_tokenize(spark, folder):
-    rows = streams.stream_tokenize(stream_of(spark, folder, "documents"), vocabulary(spark, folder))
-    return streams.run_to_table(rows, new_path(spark, "stream-ids")).select("doc_id", joined("input_ids").alias("ids"))
+    rows = streams.stream_tokenize(stream_of(spark, folder, "documents"), vocabulary(spark, folder), new_path(spark, "stream-ids"))
+    return rows.select("doc_id", joined("input_ids").alias("ids"))

@@ -59,7 +59,11 @@ def dot(spark, folder):
     return with_center(spark, folder).select("vec_id", r6(V.dot(F.col("vec"), F.col("center"))).alias("dot"))
 
 
-@query("matmul", f"WITH {CELLS_SQL} SELECT vec_id, j::BIGINT AS k, {sql_r6('s')} AS value FROM logits")
+@query(
+    "matmul",
+    f"""WITH {CELLS_SQL}, places AS (SELECT label AS j, row_number() OVER (ORDER BY label) - 1 AS k FROM (SELECT DISTINCT label FROM centers))
+    SELECT vec_id, k, {sql_r6('s')} AS value FROM logits JOIN places USING (j)""",
+)
 def matmul(spark, folder):
     return long_rows(scored_embeddings(spark, folder), ["vec_id"], value=F.col("logits"))
 
@@ -289,7 +293,7 @@ def batch_score(spark, folder):
         SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY s DESC, j) AS rn FROM logits) WHERE rn = 1""",
 )
 def argmax(spark, folder):
-    return scored_embeddings(spark, folder).select("vec_id", "label", V.argmax(F.col("logits")).alias("pred"))
+    return scored_embeddings(spark, folder).select("vec_id", "label", "pred")
 
 
 @query(

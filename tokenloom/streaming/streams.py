@@ -26,9 +26,13 @@ def stream_prompts(conversations: DataFrame) -> DataFrame:
     return asked.select("conv_id", "turn", prompt_support(F.col("text")).alias("prompt"))
 
 
-def stream_tokenize(documents: DataFrame, vocab: Vocabulary, key: str = "doc_id") -> DataFrame:
-    """Ids of every arriving text. A local vocabulary needs no state, so this is a plain projection."""
-    return documents.select(key, vocab.ids(pretokenize("text")).alias("input_ids"))
+def stream_tokenize(documents: DataFrame, vocab: Vocabulary, path: str, key: str = "doc_id") -> DataFrame:
+    """Ids of every arriving text, as a table. A local vocabulary needs no state, so this is a plain projection; a larger one
+    is joined batch by batch."""
+    if vocab.is_local:
+        return run_to_table(documents.select(key, vocab.ids(pretokenize("text")).alias("input_ids")), path)
+    kind = documents.schema[key].dataType.simpleString()
+    return run_with(documents, path, lambda batch: vocab.with_ids(batch, [key]).select(key, "input_ids"), f"`{key}` {kind}, input_ids array<int>")
 
 
 def run_with(stream: DataFrame, path: str, answer: Callable[[DataFrame], DataFrame], schema: str) -> DataFrame:
