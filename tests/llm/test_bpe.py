@@ -8,6 +8,8 @@ import pytest
 import tiktoken
 
 from tokenloom.llm import bpe
+from tokenloom.operators import merges
+from tokenloom.operators.merges import Merger
 
 PATH, PATTERN = bpe.default_vocabulary()
 
@@ -58,12 +60,37 @@ def test_every_character_is_split_as_in_the_library(library):
         assert ids_of(codec.encode(part)) == library.encode_ordinary(part)
 
 
+def merge(piece, ranks):
+    """Ids of a piece by the definition: the adjacent pair of the lowest rank, first from the left, until none is left."""
+    if piece in ranks:
+        return [ranks[piece]]
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while len(parts) > 1:
+        best, at = min((ranks.get(parts[i] + parts[i + 1], 1 << 30), i) for i in range(len(parts) - 1))
+        if best == 1 << 30:
+            break
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    return [ranks[part] for part in parts]
+
+
 def test_merge_orders_agree():
     ranks = bpe.read_ranks(PATH)
-    draw = random.Random(3)
-    for _ in range(300):
-        piece = bytes(draw.choice(b"aabthe \xc3\xa9") for _ in range(draw.randrange(1, 120)))
-        assert bpe.merge(piece, ranks) == bpe.merge_long(piece, ranks)
+    merger, draw = Merger(ranks), random.Random(3)
+    pieces = [bytes(draw.choice(b"aabthe \xc3\xa9") for _ in range(draw.randrange(1, 120))) for _ in range(300)] + [b"a", b"the"]
+    want = [merge(piece, ranks) for piece in pieces]
+    assert [ids_of(packed) for packed in merger.merge(pieces)] == want
+    assert [merger.merge_long(piece) for piece in pieces] == want
+
+
+def test_kept_pieces_are_replaced(monkeypatch, library):
+    monkeypatch.setattr(merges, "KEPT", 5)
+    monkeypatch.setattr(bpe, "PIECES_AT_ONCE", 3)
+    codec = bpe.Codec(PATH, PATTERN)
+    texts = ["one two three", "", "four five six seven eight", "one nine", "two zzzqqq one"] * 3
+    assert [ids_of(packed) for packed in codec.encode_many(texts)] == [library.encode_ordinary(text) for text in texts]
+    assert len(codec.merger.kept) <= 5
+    with pytest.raises(ValueError):
+        codec.decode(struct.pack("<I", 60_000))
 
 
 def test_empty_table(spark):

@@ -5,8 +5,8 @@ same text agree from the first boundary that both have. A long text is therefore
 overlapping chunks, split in parallel, and stitched at the first common boundary of each
 overlap; the pieces of a chunk between its two stitches are encoded where the chunk is. A text
 with an overlap without a common boundary (one giant pre-token, say) is split as a whole. Texts of
-one chunk need no shuffle. Merges are applied once for each distinct piece a worker has lately seen.
-Decoding concatenates the bytes of the ids.
+one chunk need no shuffle. A batch's distinct pieces are looked up, and those not lately seen are merged
+together, in lockstep. Decoding concatenates the bytes of the ids.
 
 Defined results: NULL and empty texts have no ids; rows are encoded row by row, so repeated rows
 and equal or NULL ids do no harm; an empty table gives an empty table; only ``key`` and ``text``
@@ -16,10 +16,9 @@ are read, so other columns of the input cannot clash.
 from __future__ import annotations
 
 import base64
-import sys
-from array import array
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
@@ -27,14 +26,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tokenloom.llm.common import documents, query, small_batches, text_column
+from tokenloom.operators.merges import Merger
+from tokenloom.session import stage
 
 #: Characters of a chunk without its overlap, and of the overlap.
 CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 1_024
 #: A boundary this near to the end of a cut text may move when more text follows.
 UNSURE_CHARS = 4
-#: Distinct pieces whose ids a worker keeps; beyond it starts anew, which bounds its memory.
-CACHED_PIECES = 150_000
+#: Pieces that are encoded together.
+PIECES_AT_ONCE = 1 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,92 +44,14 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in file if line.strip())}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one pre-token: the adjacent pair of the lowest rank is merged, first from the left, until none is left."""
-    if piece in ranks:
-        return [ranks[piece]]
-    parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            rank = ranks.get(parts[i] + parts[i + 1])
-            if rank is not None and (best is None or rank < best):
-                best, at = rank, i
-        if best is None:
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
-    return [ranks[part] for part in parts]
-
-
-def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """As ``merge`` for pieces of any length: a heap of pairs over a linked list, n log n steps."""
-    import heapq
-
-    size = len(piece)
-    end = list(range(1, size + 1))  # part i is piece[i:end[i]]
-    before = list(range(-1, size - 1))
-    alive = bytearray(b"\x01") * size
-    heap = []
-
-    def offer(i: int) -> None:
-        j = end[i]
-        if j < size:
-            rank = ranks.get(piece[i : end[j]])
-            if rank is not None:
-                heap.append((rank, i, j, end[j])) if not ready else heapq.heappush(heap, (rank, i, j, end[j]))
-
-    ready = False
-    for i in range(size):
-        offer(i)
-    heapq.heapify(heap)
-    ready = True
-    while heap:
-        _, i, j, stop = heapq.heappop(heap)
-        if not alive[i] or end[i] != j or not alive[j] or end[j] != stop:
-            continue
-        alive[j] = 0
-        end[i] = stop
-        if stop < size:
-            before[stop] = i
-        offer(i)
-        if before[i] >= 0:
-            offer(before[i])
-    ids, i = [], 0
-    while i < size:
-        ids.append(ranks[piece[i : end[i]]])
-        i = end[i]
-    return ids
-
-
-class PieceIds(dict):
-    """Packed ids (little-endian, 32 bits) of pieces, computed when first asked for."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        super().__init__()
-        self.ranks = ranks
-
-    def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode("utf-8")
-        ids = array("I", (merge if len(raw) < 64 else merge_long)(raw, self.ranks))
-        if sys.byteorder == "big":
-            ids.byteswap()
-        packed = ids.tobytes()
-        if len(self) >= CACHED_PIECES:
-            self.clear()
-        self[piece] = packed
-        return packed
-
-
 class Codec:
     """Split pattern and ranks of a byte-level vocabulary; one per worker process and file."""
 
     _held: dict[tuple[str, str], Codec] = {}
 
     def __init__(self, path: str, pattern: str):
-        ranks = read_ranks(path)
         self.pieces = regex.compile(pattern)
-        self.ids = PieceIds(ranks)
-        self.token = dict(zip(ranks.values(), ranks.keys()))
+        self.merger = Merger(read_ranks(path))
 
     @classmethod
     def of(cls, path: str, pattern: str) -> Codec:
@@ -137,17 +60,32 @@ class Codec:
         return cls._held[path, pattern]
 
     def encode(self, text: str) -> bytes:
-        return b"".join(map(self.ids.__getitem__, self.pieces.findall(text)))
+        return self.encode_many([text])[0]
+
+    def encode_many(self, texts: list[str]) -> list[bytes]:
+        """Packed ids (little-endian, 32 bits) of texts."""
+        return self.pack([self.pieces.findall(text) for text in texts])
+
+    def pack(self, rows: list[list[str]]) -> list[bytes]:
+        """Packed ids of lists of pieces."""
+        out, held, count = [], [], 0
+        for i, row in enumerate(rows):
+            held.append(row)
+            count += len(row)
+            if count >= PIECES_AT_ONCE or i == len(rows) - 1:
+                ids, counts = self.merger.encode([piece for pieces in held for piece in pieces])
+                packed, ends = ids.astype("<u4").tobytes(), np.concatenate(([0], np.cumsum(counts)))
+                borders = 4 * ends[np.concatenate(([0], np.cumsum([len(pieces) for pieces in held])))]
+                out.extend(packed[start:end] for start, end in zip(borders[:-1].tolist(), borders[1:].tolist()))
+                held, count = [], 0
+        return out
 
     def boundaries(self, text: str) -> list[int]:
         """Ends of the pieces of a text, as places of characters."""
         return [match.end() for match in self.pieces.finditer(text)]
 
     def decode(self, packed: bytes) -> bytes:
-        ids = array("I", packed)
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return b"".join(map(self.token.__getitem__, ids))
+        return self.merger.decode(np.frombuffer(packed, "<u4"))[0].tobytes()
 
 
 IDS = pa.binary()
@@ -157,8 +95,7 @@ def _encode_whole(path: str, pattern: str, decoded: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
         for batch in small_batches(batches, "text"):
-            ids = [codec.encode(text) for text in text_column(batch)]
-            yield _with_ids(batch, ids, codec if decoded else None)
+            yield _with_ids(batch, codec.encode_many(text_column(batch)), codec if decoded else None)
 
     return run
 
@@ -195,7 +132,7 @@ def _encode_between(path: str, pattern: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
         for batch in small_batches(batches, "text"):
-            packed = []
+            rows = []
             columns = (batch.column(name).to_pylist() for name in ("text", "start", "ends", "first", "final"))
             for text, start, ends, first, final in zip(*columns):
                 at, pieces = first, []
@@ -203,8 +140,8 @@ def _encode_between(path: str, pattern: str):
                     if first < end <= final:
                         pieces.append(text[at - start : end - start])
                         at = end
-                packed.append(b"".join(map(codec.ids.__getitem__, pieces)))
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(packed, IDS)], names=["row", "chunk", "ids"])
+                rows.append(pieces)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(codec.pack(rows), IDS)], names=["row", "chunk", "ids"])
 
     return run
 
@@ -239,7 +176,8 @@ def encode(
 def _encode_long(rows: DataFrame, path: str, pattern: str, chunk_chars: int, overlap_chars: int) -> DataFrame:
     """Rows (key, parts): the packed ids of every chunk of a long text, in order."""
     # The same text has the same ids, so a digest of the text names it; rows find their ids by it again.
-    named = rows.withColumn("row", F.sha2("text", 256))
+    # The long rows are read several times, so they are written once.
+    named = stage(rows.withColumn("row", F.sha2("text", 256)), "bpe-long")
     texts = named.select("row", "text").dropDuplicates(["row"])
     starts = F.sequence(F.lit(0), F.length("text") - 1, F.lit(chunk_chars))
     chunks = texts.select("row", "text", F.posexplode(starts).alias("chunk", "start")).select(
