@@ -8,10 +8,13 @@ from pyspark.sql import functions as F
 from tokenloom.functions import vectors as V
 from tokenloom.functions.constants import NF4_CODES, NORM_EPS, ROPE_THETA
 from tokenloom.operators import attention as A
+from tokenloom.operators import blocks as BL
 from tokenloom.operators import matrices as MX
+from tokenloom.operators import quantization as Q
 from tokenloom.operators.positions import key_positions
 from tokenloom.plans.evaluation import scored_embeddings
 from tokenloom.plans.registry import CELLS_SQL, embeddings, query, r6, sql_r6
+from tokenloom.session import stage
 
 SIZE = 64
 CONTEXT = A.CONTEXT
@@ -330,3 +333,40 @@ def quantize_vectors_4bit(spark, folder):
     rows = embeddings(spark, folder).withColumn("q", V.quantize_nf4(F.col("vec"))).select("vec_id", "vec", "q.scale", "q.codes")
     back = V.subtract(F.col("vec"), V.dequantize_nf4(F.col("scale"), F.col("codes")))
     return rows.select("vec_id", F.array_join("codes", " ").alias("codes"), r6(V.block_scale(back)).alias("worst"))
+
+
+@query(
+    "quantize_double",
+    f"""WITH {CELLS_SQL}, s AS (SELECT vec_id, max(abs(x)) AS scale FROM cells GROUP BY vec_id),
+    placed AS (SELECT *, (row_number() OVER (ORDER BY vec_id) - 1) // {Q.GROUP} AS grp FROM s),
+    groups AS (SELECT grp, avg(scale) AS middle, max(scale) AS high, min(scale) AS low FROM placed GROUP BY grp),
+    coded AS (SELECT vec_id, grp, scale, middle, greatest(high - middle, middle - low) AS reach FROM placed JOIN groups USING (grp)),
+    scales AS (SELECT *, CASE WHEN reach > 0 THEN round((scale - middle) / reach * 127.0)::INT ELSE 0 END AS scale_code FROM coded),
+    book AS (SELECT unnest([{', '.join(map(repr, NF4_CODES))}]::DOUBLE[]) AS value, unnest(range(16)) AS code),
+    q AS (SELECT vec_id, k, x, value, scale_code, middle + scale_code * reach / 127.0 AS about,
+                 row_number() OVER (PARTITION BY vec_id, k ORDER BY abs(x / scale - value), code) AS rn FROM cells JOIN scales USING (vec_id) CROSS JOIN book)
+    SELECT vec_id, any_value(scale_code) AS scale_code, {sql_r6('any_value(about)')} AS scale, {sql_r6('max(abs(x - value * about))')} AS worst
+    FROM q WHERE rn = 1 GROUP BY vec_id""",
+)
+def quantize_double(spark, folder):
+    """4-bit codes whose scales are 8-bit codes themselves, read back."""
+    rows = embeddings(spark, folder).select("vec_id", "vec")
+    blocks, groups = Q.quantize_double(rows, "vec_id", "vec")
+    back = Q.dequantize_double(blocks, groups, "vec_id", "back")
+    about = blocks.where("part = 0").join(groups, "group").select("vec_id", F.col("scale_code").cast("int"), (F.col("middle") + F.col("scale_code") * F.col("reach") / 127.0).alias("scale"))
+    met = rows.join(back, "vec_id").join(about, "vec_id")
+    return met.select("vec_id", "scale_code", r6("scale").alias("scale"), r6(V.block_scale(V.subtract(F.col("vec"), F.col("back")))).alias("worst"))
+
+
+GRAM_BLOCK = 16
+
+
+@query(
+    "block_matmul",
+    f"WITH {CELLS_SQL} SELECT a.k AS i, b.k AS j, {sql_r6('sum(a.x * b.x)')} AS value FROM cells a JOIN cells b ON a.vec_id = b.vec_id GROUP BY a.k, b.k",
+)
+def block_matmul(spark, folder):
+    """The transposed vector table times itself, in blocks: the inner side is the table's rows."""
+    blocks = stage(BL.from_rows(embeddings(spark, folder), "vec_id", "vec", GRAM_BLOCK), "blocks")
+    cells = BL.to_cells(BL.multiply(BL.transpose(blocks, GRAM_BLOCK), blocks), GRAM_BLOCK)
+    return cells.select("i", "j", r6("v").alias("value"))
