@@ -1,10 +1,12 @@
 """Operator 5, benchmark decontamination: a broadcast set of the test's n-grams.
 
-The benchmark's normalised windows become a set of hashes that every task holds. Tasks scan the
-training texts word by word: words outside the benchmark's vocabulary cannot be part of a hit,
-the others form windows whose hashes are looked up, and every hit is verified word by word.
-The set is broadcast only in blocks of a bounded number of windows: a larger benchmark is taken
-in several passes over the corpus, whose hits are united per document, so nothing is left out.
+Spark turns the benchmark into a table of its distinct normalised windows. Up to BLOCK_WINDOWS of them,
+counted, become a set of hashes that every task holds. Tasks scan the training texts word by word:
+words outside the benchmark's vocabulary cannot be part of a hit, the others form windows whose hashes are
+looked up, and every hit is verified word by word. A larger benchmark stays a table: tasks hold only a
+bitmap of its hashes, of a bounded size whatever the benchmark, built slice by slice by Spark; the windows of a
+text that the bitmap lets pass are joined with the table by a shuffle, which verifies them. Either way the
+texts are read once, and the result does not depend on the bound.
 
 Defined results: NULL texts and texts without words have no windows and no hits; an item without
 words marks nothing; items with equal windows are all reported; NULL item ids are reported as
@@ -21,17 +23,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tokenloom.llm.common import documents, query, small_batches, text_column
+from tokenloom.session import stage
 from tokenloom.sources.readers import read_table
 
 #: Words of a window.
 WINDOW = 10
-#: Most windows of one broadcast set: about 8 bytes of hash and WINDOW ids of 4 bytes each.
+#: Most windows of the broadcast set: about 8 bytes of hash and WINDOW ids of 4 bytes each.
 BLOCK_WINDOWS = 1_000_000
+#: Bits a window of the bitmap for larger benchmarks, its largest size as a power of two (128 MB) and the slices it is built in.
+BITS_A_WINDOW = 16
+MOST_BITS = 30
+SLICES = 256
+#: Codes of words that a worker keeps.
+CACHED_WORDS = 200_000
 
 #: A-Z lower-cased, every other ASCII character but a-z and 0-9 a blank; bytes over 127 belong to words.
 NORMALISE = bytes(
@@ -46,18 +56,17 @@ def words_of(text: str) -> list[bytes]:
 
 
 class WindowSet:
-    """Windows of one block of items: word ids, sorted hashes, ids for verification, owners."""
+    """Windows with their owners: word ids, sorted hashes, ids for verification."""
 
-    def __init__(self, items: list[tuple[int | None, list[bytes]]], window: int = WINDOW):
+    def __init__(self, items: list[tuple[list[int], list[bytes]]], window: int = WINDOW):
+        """``items``: owners and words; more words than a window are all their windows."""
         self.vocabulary: dict[bytes, int] = {}
         windows: dict[tuple[int, ...], set[int]] = {}
-        for item, words in items:
+        for own, words in items:
             ids = [self.vocabulary.setdefault(word, len(self.vocabulary)) for word in words]
             size = min(window, len(ids))
             for start in range(len(ids) - size + 1) if size else ():
-                owners = windows.setdefault(tuple(ids[start : start + size]), set())
-                if item is not None:
-                    owners.add(item)
+                windows.setdefault(tuple(ids[start : start + size]), set()).update(own)
         self.by_size: dict[int, tuple[np.ndarray, list[tuple[int, ...]], list[tuple[int, ...]]]] = {}
         for size in {len(w) for w in windows}:
             own = [w for w in windows if len(w) == size]
@@ -104,22 +113,93 @@ class WindowSet:
         return hit, found
 
 
-def window_sets(benchmark: DataFrame, item: str, text: str, window: int = WINDOW, block: int = BLOCK_WINDOWS) -> Iterator[WindowSet]:
-    """The benchmark in blocks of a bounded number of windows, read one partition at a time."""
-    items: list[tuple[int | None, list[bytes]]] = []
-    held = 0
-    for row in benchmark.select(F.col(item).alias("item"), F.col(text).alias("text")).toLocalIterator():
-        words = words_of(row.text or "")
-        # A long item is cut so that no block outgrows its bound; the cuts overlap by a window less one word.
-        for start in range(0, max(1, len(words) - window + 1), block):
-            part = words[start : start + block + window - 1]
-            if held and held + len(part) > block:
-                yield WindowSet(items, window)
-                items, held = [], 0
-            items.append((row.item, part))
-            held += len(part)
-    if items:
-        yield WindowSet(items, window)
+class WordCodes(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= CACHED_WORDS:
+            self.clear()
+        code = self[word] = xxhash.xxh64_intdigest(word)
+        return code
+
+
+def window_hashes(words: list[bytes], size: int, codes: WordCodes) -> np.ndarray:
+    """Hash of every window of ``size`` words."""
+    return WindowSet.hashes(np.fromiter(map(codes.__getitem__, words), np.uint64, len(words)), size)
+
+
+def benchmark_windows(benchmark: DataFrame, item: str, text: str, window: int = WINDOW) -> DataFrame:
+    """Rows (size, hash, gram, owners): the distinct windows of the items, words joined by blanks, staged."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codes = WordCodes()
+        for batch in small_batches(batches, "text", 1 << 20):
+            for owner, text in zip(batch.column("item").to_pylist(), text_column(batch)):
+                words = words_of(text)
+                size = min(window, len(words))
+                hashes = window_hashes(words, size, codes) if size else np.empty(0, np.uint64)
+                for start in range(0, len(hashes), 10_000):
+                    own = hashes[start : start + 10_000]
+                    grams = [b" ".join(words[i : i + size]) for i in range(start, start + len(own))]
+                    arrays = [pa.array([size] * len(own), pa.int32()), pa.array(own.view(np.int64)), pa.array(grams, pa.binary()), pa.array([owner] * len(own), pa.int64())]
+                    yield pa.RecordBatch.from_arrays(arrays, names=["size", "hash", "gram", "owner"])
+
+    rows = benchmark.select(F.col(item).cast("bigint").alias("item"), F.col(text).alias("text"))
+    every = rows.mapInArrow(run, "size int, hash bigint, gram binary, owner bigint")
+    return stage(every.groupBy("size", "hash", "gram").agg(F.collect_set("owner").alias("owners")), "benchmark-windows")
+
+
+def small_set(windows: DataFrame, window: int, most: int) -> WindowSet | None:
+    """The windows as a set if there are at most ``most``."""
+    if windows.count() > most:
+        return None
+    return WindowSet([(list(row.owners), bytes(row.gram).split(b" ")) for row in windows.select("gram", "owners").toLocalIterator()], window)
+
+
+def hash_bitmap(windows: DataFrame) -> tuple[int, np.ndarray]:
+    """(power, bits packed): bit ``hash >> (64 - power)`` is set for every window; at most 2^MOST_BITS bits, whatever the table."""
+    count = windows.count()
+    power = max(16, min(MOST_BITS, (BITS_A_WINDOW * count).bit_length()))
+    size = (1 << power) // SLICES
+    placed = windows.select(F.shiftrightunsigned("hash", 64 - power).alias("bit")).select((F.floor(F.col("bit") / size)).cast("int").alias("slice"), (F.col("bit") % size).cast("int").alias("at"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slices: dict[int, np.ndarray] = {}
+        for batch in batches:
+            numbers, at = batch.column("slice").to_numpy(), batch.column("at").to_numpy()
+            for number in np.unique(numbers).tolist():
+                slices.setdefault(number, np.zeros(size, bool))[at[numbers == number]] = True
+        if slices:
+            packed = [np.packbits(bits, bitorder="little").tobytes() for bits in slices.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(slices), pa.int32()), pa.array(packed, pa.binary())], names=["slice", "bits"])
+
+    # A slice is whole in one task, so the driver gets each slice once.
+    held = np.zeros((1 << power) // 8, np.uint8)
+    for row in placed.distinct().repartition(SLICES, "slice").mapInArrow(run, "slice int, bits binary").toLocalIterator():
+        held[row.slice * size // 8 : (row.slice + 1) * size // 8] = np.frombuffer(row.bits, np.uint8)
+    return power, held
+
+
+def _passing(held: Broadcast, sizes: list[int]):
+    """Windows of the texts that the bitmap lets pass: (digest, size, hash, gram, start)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        power, bits = held.value
+        codes = WordCodes()
+        for batch in small_batches(batches, "text"):
+            found: list[tuple] = []
+            for digest, text in zip(batch.column("digest").to_pylist(), text_column(batch)):
+                words = words_of(text)
+                for size in sizes:
+                    if len(words) < size:
+                        continue
+                    hashes = window_hashes(words, size, codes)
+                    place = hashes >> np.uint64(64 - power)
+                    for start in np.flatnonzero(bits[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8) & 1).tolist():
+                        found.append((digest, size, int(hashes[start : start + 1].view(np.int64)[0]), b" ".join(words[start : start + size]), start))
+            if found:
+                kinds = (pa.string(), pa.int32(), pa.int64(), pa.binary(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(column, kind) for column, kind in zip(zip(*found), kinds)], names=["digest", "size", "hash", "gram", "start"])
+
+    return run
 
 
 def _spans(hit: np.ndarray) -> list[int]:
@@ -152,20 +232,19 @@ def _digest(text: str):
     return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)
 
 
-def _united(docs: DataFrame, text: str, sets: list[WindowSet]) -> DataFrame:
-    """Rows (digest, spans, items) of the texts with hits, each judged as it is by every block."""
-    # Hits depend on the text alone, so passes meet on its digest; only documents with hits are shuffled.
+def _united(docs: DataFrame, text: str, windows: DataFrame) -> DataFrame:
+    """Rows (digest, spans, items) of the texts with hits, by a join of the windows that the bitmap lets pass."""
+    sizes = [row["size"] for row in windows.select("size").distinct().orderBy("size").collect()]
+    held = docs.sparkSession.sparkContext.broadcast(hash_bitmap(windows))
+    # Hits depend on the text alone, so its digest names it; equal texts give equal rows.
     rows = docs.select(_digest(text).alias("digest"), F.col(text).alias("text"))
-    passes = [
-        rows.mapInArrow(_scan(docs.sparkSession.sparkContext.broadcast(one)), f"digest string, {HITS}").where(F.size("spans") > 0).dropDuplicates(["digest"])
-        for one in sets
-    ]
-    united = passes[0]
-    for more in passes[1:]:
-        united = united.unionByName(more)
-    return united.groupBy("digest").agg(
-        F.flatten(F.collect_list("spans")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
-    ).mapInArrow(_merge_spans, "digest string, spans array<int>, items array<bigint>")
+    passing = rows.mapInArrow(_passing(held, sizes), "digest string, size int, hash bigint, gram binary, start int").distinct()
+    met = passing.join(windows, ["size", "hash", "gram"])
+    span = F.array(F.col("start"), F.col("start") + F.col("size"))
+    united = met.select("digest", span.alias("span"), "owners").groupBy("digest").agg(
+        F.flatten(F.collect_list("span")).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("owners")))).alias("items")
+    )
+    return united.mapInArrow(_merge_spans, "digest string, spans array<int>, items array<bigint>")
 
 
 def contamination(
@@ -174,16 +253,16 @@ def contamination(
 ) -> DataFrame:
     """Rows (key, n_words, spans, items): runs of hit words as (begin, end) pairs, items with occurring windows.
 
-    One row per document, in as many passes over the corpus as the benchmark has blocks.
+    One row per document.
     """
-    spark = docs.sparkSession
-    sets = list(window_sets(benchmark, item, item_text, window, block)) or [WindowSet([], window)]
-    if len(sets) == 1:
+    spark, windows = docs.sparkSession, benchmark_windows(benchmark, item, item_text, window)
+    held = small_set(windows, window, block)
+    if held is not None:
         rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
         kind = rows.schema["key"].dataType.simpleString()
-        found = rows.mapInArrow(_scan(spark.sparkContext.broadcast(sets[0])), f"key {kind}, {HITS}")
+        found = rows.mapInArrow(_scan(spark.sparkContext.broadcast(held)), f"key {kind}, {HITS}")
         return found.withColumnRenamed("key", key)
-    hits = _united(docs, text, sets)
+    hits = _united(docs, text, windows)
     base = docs.select(F.col(key).alias("key"), _digest(text).alias("digest"), word_count(F.col(text)).alias("n_words"))
     empty_spans, empty_items = F.array().cast("array<int>"), F.array().cast("array<bigint>")
     joined = base.join(hits, "digest", "left").select(
@@ -248,14 +327,13 @@ def _without_joined(text: str):
 def remove_spans(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents, all their columns, without the hit words and what stands between them.
 
-    Every block judges the text as it is; the united spans are cut once, so the result does not depend on the blocks.
+    The text is judged as it is and the united spans are cut once, so the result does not depend on the size of the benchmark.
     """
-    sets = list(window_sets(benchmark, item, item_text, window, block))
-    if not sets:
-        return docs
-    if len(sets) == 1:
-        return docs.mapInArrow(_without_spans(docs.sparkSession.sparkContext.broadcast(sets[0]), text), docs.schema)
-    hits = _united(docs, text, sets).select(F.col("digest").alias("_hit_digest"), F.col("spans").alias("_hit_spans"))
+    windows = benchmark_windows(benchmark, item, item_text, window)
+    held = small_set(windows, window, block)
+    if held is not None:
+        return docs.mapInArrow(_without_spans(docs.sparkSession.sparkContext.broadcast(held), text), docs.schema)
+    hits = _united(docs, text, windows).select(F.col("digest").alias("_hit_digest"), F.col("spans").alias("_hit_spans"))
     joined = docs.withColumn("_hit_digest", _digest(text)).join(hits, "_hit_digest", "left").select(*(f"`{c}`" for c in docs.columns), "_hit_spans")
     return joined.mapInArrow(_without_joined(text), docs.schema)
 
@@ -272,9 +350,12 @@ def _clean_only(held: Broadcast, text: str):
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id", item_text: str = "text", window: int = WINDOW, block: int = BLOCK_WINDOWS) -> DataFrame:
     """The documents, all their columns, that hold no window of the benchmark."""
-    for one in window_sets(benchmark, item, item_text, window, block):
-        docs = docs.mapInArrow(_clean_only(docs.sparkSession.sparkContext.broadcast(one), text), docs.schema)
-    return docs
+    windows = benchmark_windows(benchmark, item, item_text, window)
+    held = small_set(windows, window, block)
+    if held is not None:
+        return docs.mapInArrow(_clean_only(docs.sparkSession.sparkContext.broadcast(held), text), docs.schema)
+    hits = _united(docs, text, windows).select(F.col("digest").alias("_hit_digest"))
+    return docs.withColumn("_hit_digest", _digest(text)).join(hits, "_hit_digest", "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 OP5_SQL = r"""WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower_text, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
