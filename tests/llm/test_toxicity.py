@@ -74,6 +74,44 @@ def test_held_out_accuracy_on_the_table(spark):
     assert np.mean([r.toxic_probability >= 0.5 for r in got if not r.toxic]) < 0.03
 
 
+def test_later_models_see_probabilities(monkeypatch):
+    """The column of an earlier category holds what models of the other folds say, as probabilities."""
+    seen = []
+    real = t.fit_logistic
+    monkeypatch.setattr(t, "fit_logistic", lambda x, y, **k: seen.append((x, y)) or real(x, y, **k))
+    rng = np.random.default_rng(2)
+    features, folds = rng.normal(size=(90, 2)), np.arange(90) % 3
+    labels = (rng.random((90, 2)) < 1 / (1 + np.exp(-3 * features))).astype(float)
+    t.fit_chain([features, features[:, :1]], labels, folds)
+    column = seen[4][0][:, 1]
+    for i in range(90):
+        weights = real(features[folds != folds[i]], labels[folds != folds[i], 0])
+        assert np.isclose(column[i], 1 / (1 + np.exp(-(features[i] @ weights[1:] + weights[0]))))
+
+
+def test_query_against_a_plain_chain(spark):
+    """Every probability of the query, from the fitted weights by plain arithmetic."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{name}.parquet") for name in ("documents", "labels"))
+    chain = t.fit(docs, labels, t.default_categories())
+    assert len(chain.links[1].earlier) == 1
+    got = {r.doc_id: r for r in t.op6(spark, folder).collect()}
+    for row in docs.collect():
+        words, known = t.words_of(row.text or ""), []
+        for link in chain.links:
+            logit = link.intercept
+            for string, weight in zip(link.strings, link.weights):
+                if string.endswith(b" "):
+                    count = sum(word == string[:-1] for word in words)
+                else:
+                    count = sum(word.startswith(string) and len(word.decode("utf-8", "ignore")) > len(string.decode()) for word in words)
+                logit += weight * (100 * count / len(words) if words else 0.0)
+            logit += sum(w * p for w, p in zip(link.earlier, known))
+            known.append(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
+        assert np.allclose(known, [got[row.doc_id].low_quality_probability, got[row.doc_id].toxic_probability])
+        assert got[row.doc_id].toxic == (got[row.doc_id].toxic_probability >= t.THRESHOLD)
+
+
 def test_query_covers_the_table(spark):
     rows = t.op6(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r.kept != r.toxic for r in rows)

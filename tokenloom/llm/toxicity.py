@@ -103,11 +103,11 @@ class Chain:
 
         def score(words: list[bytes]) -> list[float]:
             found = shares.of(words).items()
-            logits: list[float] = []
+            known: list[float] = []
             for link, weights in zip(self.links, dense):
-                logit = link.intercept + sum(weights[i] * x for i, x in found) + sum(w * x for w, x in zip(link.earlier, logits))
-                logits.append(float(np.clip(logit, -30, 30)))
-            return [1.0 / (1.0 + float(np.exp(-x))) for x in logits]
+                logit = link.intercept + sum(weights[i] * x for i, x in found) + sum(w * p for w, p in zip(link.earlier, known))
+                known.append(float(_probability(logit)))
+            return known
 
         return score
 
@@ -133,12 +133,12 @@ def fit_logistic(features: np.ndarray, labels: np.ndarray, ridge: float = RIDGE,
     return weights
 
 
-def _logits(features: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    return np.clip(features @ weights[1:] + weights[0], -30, 30)
+def _probability(logit: np.ndarray | float) -> np.ndarray | float:
+    return 1.0 / (1.0 + np.exp(-np.clip(logit, -30, 30)))
 
 
 def fit_chain(features: list[np.ndarray], labels: np.ndarray, folds: np.ndarray, count: int = FOLDS) -> list[np.ndarray]:
-    """Weights per category; columns of earlier logits follow the features of a category."""
+    """Weights per category; columns of earlier categories' probabilities follow the features of a category."""
     earlier = np.zeros((len(labels), 0))
     models = []
     for i, own in enumerate(features):
@@ -148,7 +148,8 @@ def fit_chain(features: list[np.ndarray], labels: np.ndarray, folds: np.ndarray,
         held_out = np.zeros(len(y))
         for fold in range(count):
             inside = folds == fold
-            held_out[inside] = _logits(x[inside], fit_logistic(x[~inside], y[~inside]))
+            weights = fit_logistic(x[~inside], y[~inside])
+            held_out[inside] = _probability(x[inside] @ weights[1:] + weights[0])
         earlier = np.column_stack((earlier, held_out))
     return models
 
