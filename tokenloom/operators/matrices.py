@@ -148,10 +148,10 @@ def reduce_all(df: DataFrame, key: str, vec: str, hows: Sequence[str], width: in
     return flat.unionByName(rows.select("_r.how", F.lit("rows").alias("axis"), "at", "_r.value"))
 
 
-def reshape(grid: DataFrame, columns: int, new_rows: int, new_columns: int) -> DataFrame:
+def reshape(grid: DataFrame, columns: int, new_rows: int, new_columns: int, count: int | None = None) -> DataFrame:
     """View a cell table with ``columns`` columns as (new_rows, new_columns); -1 is inferred.
 
-    The number of cells must match, otherwise running it fails.
+    The number of cells must match; it is counted unless ``count`` gives it.
     """
     if new_rows != -1 and new_columns == -1:
         raise ValueError("give the number of columns")
@@ -159,7 +159,7 @@ def reshape(grid: DataFrame, columns: int, new_rows: int, new_columns: int) -> D
     moved = grid.select(
         F.floor(place / new_columns).cast("bigint").alias("i"), (place % new_columns).cast("int").alias("j"), "v"
     )
-    count = grid.count()
+    count = grid.count() if count is None else count
     if count % new_columns or (new_rows != -1 and count != new_rows * new_columns):
         raise ValueError(f"{count} cells do not fit ({new_rows}, {new_columns})")
     return moved

@@ -34,11 +34,28 @@ def pretokenize(spark, folder):
     return split.select("doc_id", F.size("p").cast("bigint").alias("pieces"), F.md5(joined("p")).alias("hash"))
 
 
-@query("pretokenize_full", "SELECT doc_id, md5(text) AS hash, true AS lossless FROM documents")
+_SPACES = r"\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_BLANK, _INSIDE = rf"\t-\r {_SPACES}", rf"\t\x0B\x0C {_SPACES}"
+
+
+def full_pieces_sql(text: str) -> str:
+    """The pieces of ``pretokenize_full`` in SQL, which cannot look ahead: the last blank before a word is cut off beforehand."""
+    pattern = (
+        rf"(?i:''s|''t|''re|''ve|''m|''ll|''d)|[^\r\n\p{{L}}\p{{N}}]?\p{{L}}+|\p{{N}}{{1,3}}| ?[^{_BLANK}\p{{L}}\p{{N}}]+[\r\n]*|[{_BLANK}]*[\r\n]+|[{_BLANK}]+"
+    )
+    cut = f"string_split(regexp_replace({text}, '([{_BLANK}])([{_INSIDE}][^{_BLANK}])', '\\1' || chr(57344) || '\\2', 'g'), chr(57344))"
+    return f"flatten(list_transform({cut}, lambda part: regexp_extract_all(part, '{pattern}')))"
+
+
+FULL_SQL = f"full_pieces AS MATERIALIZED (SELECT doc_id, text, {full_pieces_sql('text')} AS p FROM documents)"
+
+
+@query("pretokenize_full", f"WITH {FULL_SQL} SELECT doc_id, len(p) AS pieces, md5(array_to_string(p, '|')) AS hash, array_to_string(p, '') = text AS lossless FROM full_pieces")
 def pretokenize_full(spark, folder):
     split = documents(spark, folder).select("doc_id", "text", T.pretokenize_full("text").alias("p"))
-    back = split.select("doc_id", "text", joined("p", "").alias("back"))
-    return back.select("doc_id", F.md5("back").alias("hash"), (F.col("back") == F.col("text")).alias("lossless"))
+    return split.select(
+        "doc_id", F.size("p").cast("bigint").alias("pieces"), F.md5(joined("p", "|")).alias("hash"), (joined("p", "") == F.col("text")).alias("lossless")
+    )
 
 
 @query(
@@ -62,12 +79,15 @@ def encode(spark, folder):
     return encoded(spark, folder)[1].select("doc_id", joined("input_ids").alias("ids"))
 
 
-@query("encode_bpe", "SELECT doc_id, md5(text) AS decoded FROM documents")
+@query("encode_bpe", f"WITH {FULL_SQL} SELECT doc_id, len(p) AS pieces, true AS merged, md5(text) AS decoded FROM full_pieces")
 def encode_bpe(spark, folder):
-    """SQL states that the ids decode to the text; a test holds the ids themselves against a known encoder."""
+    """SQL states the pieces and what the ids decode to; a test holds the ids themselves against a known encoder."""
     vocab = vocabulary(spark, folder)
     rows = T.encode_bpe(documents(spark, folder).select("doc_id", "text"), ["doc_id"], vocab)
-    return rows.select("doc_id", F.md5(T.decode_bpe(F.col("input_ids"), vocab)).alias("decoded"))
+    pieces = F.size(T.pretokenize_full("text")).cast("bigint")
+    # No piece is left out and none has more ids than bytes.
+    merged = F.size("input_ids").between(pieces, F.octet_length("text"))
+    return rows.select("doc_id", pieces.alias("pieces"), merged.alias("merged"), F.md5(T.decode_bpe(F.col("input_ids"), vocab)).alias("decoded"))
 
 
 @query(

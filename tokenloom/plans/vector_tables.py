@@ -91,9 +91,18 @@ def broadcast_op(spark, folder):
 GRID_SQL = f"""{CELLS_SQL}, grid AS (SELECT dense_rank() OVER (ORDER BY vec_id) - 1 AS i, k AS j, x AS v FROM cells)"""
 
 
+def numbered_rows(spark, folder):
+    """The vectors with a dense row number, written once."""
+    return stage(key_positions(embeddings(spark, folder), "vec_id", "row").select("row", "vec"), "numbered")
+
+
+def cells_of_rows(rows):
+    return MX.cells(rows, "row", "vec").withColumn("j", F.col("j").cast("bigint"))
+
+
 def grid(spark, folder):
     """Cells (i, j, v) with a dense row number."""
-    return MX.cells(key_positions(embeddings(spark, folder), "vec_id", "row"), "row", "vec").withColumn("j", F.col("j").cast("bigint"))
+    return cells_of_rows(numbered_rows(spark, folder))
 
 
 def rounded(df):
@@ -102,7 +111,9 @@ def rounded(df):
 
 @query("reshape", f"WITH {GRID_SQL} SELECT (i * 64 + j) // 16 AS i, (i * 64 + j) % 16 AS j, {sql_r6('v')} AS v FROM grid")
 def reshape(spark, folder):
-    return rounded(MX.reshape(grid(spark, folder), SIZE, -1, 16))
+    rows = numbered_rows(spark, folder)
+    count = rows.agg(F.coalesce(F.sum(F.size("vec")), F.lit(0))).first()[0]
+    return rounded(MX.reshape(cells_of_rows(rows), SIZE, -1, 16, count))
 
 
 @query(
