@@ -285,8 +285,10 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, gram
     windows = stage(windows, "repeat-windows")
     twice = windows.groupBy("window", "tail").agg(F.count("*").alias("n")).where("n > 1").select("window", "tail")
     large = windows.where("once").join(twice, ["window", "tail"]).select("code", "begin", (F.col("begin") + depth).alias("end"))
-    known = extents.where("n > 1").select("gram", "extent", "tail")
-    certain = left.join(known, ["gram", "extent", "tail"]).select("code", F.col("low").alias("begin"), (F.col("high") + depth).alias("end"))
+    # An extent that many texts share is one hot key, so not it is joined: the places of the others, each once, are taken out.
+    alone = extents.where("n = 1").select("first.code", "first.low")
+    places = left.groupBy("code", "low").agg(F.max("high").alias("high"))
+    certain = places.join(alone, ["code", "low"], "left_anti").select("code", F.col("low").alias("begin"), (F.col("high") + depth).alias("end"))
     ranges = certain.unionByName(small).unionByName(large)
     return stage(ranges.groupBy("code").agg(F.collect_set(F.struct("begin", "end")).alias("ranges")).mapInArrow(_merge, "code bigint, spans array<int>"), "repeat-spans")
 
