@@ -130,6 +130,7 @@ def test_a_long_prompt_lengthens_only_its_own_lists(spark, monkeypatch):
     monkeypatch.setattr(N, "HISTORIES", (4, 16))
     for broadcast in (N.BROADCAST_OPTIONS, 0):
         monkeypatch.setattr(N, "BROADCAST_OPTIONS", broadcast)
+        monkeypatch.setattr(N, "SALT_ROWS", 5)
         lengths.clear()
         got = N.generate(df, table, ["id"], "text", END, 4, k=1, penalty=3.0, stage_every=2).collect()
         assert sorted(lengths) == [1 + 3 + 4 + 1, 1 + 30 + 4 + 1]

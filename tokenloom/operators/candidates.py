@@ -14,11 +14,13 @@ from tokenloom.session import stage
 
 # Width of the score bands in log_sum_exp_by; far below the overflow of exp.
 BAND = 64
-# Most rows of a table of sums, and most options of all lists together, that are broadcast; their size is counted first.
-BROADCAST_SUMS = 2_000_000
+# Most options of all lists together that are broadcast; they are counted first.
 BROADCAST_OPTIONS = 500_000
 # Prompts are continued apart by the number of distinct pieces in them, so a long one lengthens no other's option lists.
-HISTORIES = (64, 512, 4_096)
+HISTORIES = (256, 4_096)
+# Rows for which the lists of larger tables get one more salt, and most salts.
+SALT_ROWS = 250_000
+MAX_SALTS = 16
 
 
 def next_token_scores(df: DataFrame, text: str = "text", end_token: str | None = None) -> DataFrame:
@@ -55,10 +57,9 @@ def log_sum_exp_by(df: DataFrame, keys: Sequence[str], score: Column, out: str =
 
 def softmax_by(df: DataFrame, keys: Sequence[str], score: Column, out: str = "prob") -> DataFrame:
     """Softmax of a score over all rows of a key."""
-    whole = stage(log_sum_exp_by(df, keys, score, "_lse"), "sums")
-    # A hot key is hot in ``df`` only; a small table of sums goes to the rows instead.
-    small = whole.count() <= BROADCAST_SUMS
-    return df.join(F.broadcast(whole) if small else whole, list(keys)).withColumn(out, F.exp(score - F.col("_lse"))).drop("_lse")
+    # A hot key is hot in ``df`` only, and the sums are one plan with it: adaptive execution splits it or sends a small table of sums.
+    whole = log_sum_exp_by(df, keys, score, "_lse")
+    return df.join(whole, list(keys)).withColumn(out, F.exp(score - F.col("_lse"))).drop("_lse")
 
 
 def temperature(df: DataFrame, value: float = 1.0) -> DataFrame:
@@ -121,9 +122,10 @@ def sample_candidates(kept: DataFrame, draws: int = 1, seed: int = 42, weight: s
 
 
 def candidate_lists(df: DataFrame, k: int) -> DataFrame:
-    """(ctx, options): the ``k`` best candidates of a context as one list, best first."""
+    """(ctx, options): the ``k`` best candidates of a context as one list, best first; a ``place`` that is there is used."""
     listed = F.sort_array(F.collect_list(F.struct("place", "score", "token")))
-    return top_k(df, k).groupBy("ctx").agg(listed.alias("options"))
+    best = df.where(F.col("place") <= k) if "place" in df.columns else top_k(df, k)
+    return best.groupBy("ctx").agg(listed.alias("options"))
 
 
 def prepare_options(scores: DataFrame, size: int) -> tuple[DataFrame, int]:
@@ -190,17 +192,21 @@ def generate(
         "end_token": end_token, "min_length": min_length, "do_sample": do_sample, "heat": heat, "k": k, "p": p, "penalty": penalty, "seed": seed,
     }
     if penalty == 1.0:
-        return _continue(start, _options(scores, k + 1, prepared), keys, max_new_tokens, stage_every, **options_for)
+        return _continue(start, _options(scores, k + 1, prepared), keys, max_new_tokens, stage_every, prompts.count(), **options_for)
     start = stage(start, "prompts")
     size = F.coalesce(F.size("_seen"), F.lit(0))
     group = F.lit(len(HISTORIES))
     for i, bound in reversed(list(enumerate(HISTORIES))):
         group = F.when(size <= bound, i).otherwise(group)
-    longest = {row["class"]: row.longest for row in start.groupBy(group.alias("class")).agg(F.max(size).alias("longest")).collect()}
+    classes = {row["class"]: row for row in start.groupBy(group.alias("class")).agg(F.max(size).alias("longest"), F.count("*").alias("rows")).collect()}
+    wanted = {number: k + row.longest + max_new_tokens + 1 for number, row in classes.items()}
+    if sum(not prepared or prepared[1] < size for size in wanted.values()) > 1:
+        # The places of the longest lists serve all of them.
+        scores = stage(top_k(scores, max(wanted.values())), "places")
     done = None
-    for number in sorted(longest):
+    for number in sorted(classes):
         part = start.where(group == number)
-        own = _continue(part, _options(scores, k + longest[number] + max_new_tokens + 1, prepared), keys, max_new_tokens, stage_every, **options_for)
+        own = _continue(part, _options(scores, wanted[number], prepared), keys, max_new_tokens, stage_every, classes[number].rows, **options_for)
         done = own if done is None else done.unionByName(own)
     return start.select(*keys, "tokens") if done is None else done
 
@@ -209,20 +215,23 @@ def _options(scores: DataFrame, wanted: int, prepared: tuple[DataFrame, int] | N
     return prepared[0] if prepared and prepared[1] >= wanted else prepare_options(scores, wanted)[0]
 
 
-def _with_options(state: DataFrame, options: DataFrame, keys: Sequence[str], small: bool, salts: int = 16) -> DataFrame:
+def _with_options(state: DataFrame, options: DataFrame, keys: Sequence[str], small: bool, salts: int) -> DataFrame:
     """The rows with the option list of ``_on``. A frequent last piece is hot: small lists are broadcast, large ones copied to salts."""
     if small:
         return state.join(F.broadcast(options), "_on", "left")
+    if salts < 2:
+        return state.join(options, "_on", "left")
     salted = state.withColumn("_salt", F.pmod(F.xxhash64(*keys), F.lit(salts)).cast("int"))
     copies = options.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return salted.join(copies, ["_on", "_salt"], "left").drop("_salt")
 
 
 def _continue(
-    state: DataFrame, options: DataFrame, keys: Sequence[str], max_new_tokens: int, stage_every: int, end_token: str, min_length: int,
+    state: DataFrame, options: DataFrame, keys: Sequence[str], max_new_tokens: int, stage_every: int, rows: int, end_token: str, min_length: int,
     do_sample: bool, heat: float, k: int, p: float, penalty: float, seed: int,
 ) -> DataFrame:
     small = (options.agg(F.sum(F.size("options"))).first()[0] or 0) <= BROADCAST_OPTIONS
+    salts = min(MAX_SALTS, rows // SALT_ROWS)
     for step in range(max_new_tokens):
         u = uniform(seed, *keys, F.lit(step))
         history = F.concat(F.col("_seen"), F.col("tokens"))
@@ -230,7 +239,7 @@ def _continue(
         # A finished row has no context: it joins on a text no piece can equal (pieces never
         # mix a control character and digits), which also spreads the finished rows.
         nowhere = F.concat(F.lit("\u0000"), F.pmod(F.xxhash64(*keys), F.lit(4096)).cast("string"))
-        state = _with_options(state.withColumn("_on", F.coalesce("ctx", nowhere)), options, keys, small).withColumn("_next", chosen)
+        state = _with_options(state.withColumn("_on", F.coalesce("ctx", nowhere)), options, keys, small, salts).withColumn("_next", chosen)
         state = state.withColumn("ctx", F.when(F.col("_next") != end_token, F.col("_next")))
         state = state.withColumn("tokens", F.when(F.col("ctx").isNotNull(), F.concat("tokens", F.array("ctx"))).otherwise(F.col("tokens")))
         state = state.drop("options", "_next", "_on")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator, Sequence
 from functools import cached_property
 
@@ -228,14 +229,15 @@ def bpe_ranks(vocab: Vocabulary) -> dict[bytes, int]:
     return ranks
 
 
-def encode_bpe(df: DataFrame, key: Sequence[str], vocab: Vocabulary, text: str = "text", out: str = "input_ids") -> DataFrame:
+def encode_bpe(df: DataFrame, key: Sequence[str], vocab: Vocabulary, text: str = "text", out: str = "input_ids", pieces: str | None = None) -> DataFrame:
     """Add byte-pair ids, without a shuffle: each batch merges its distinct pieces that the worker has not lately seen.
 
     A text that holds a special name is an error. The ids depend on the row alone, so ``key`` may repeat or be NULL.
+    ``pieces`` names a column for the number of pieces.
     """
     ranks = bpe_ranks(vocab)
 
-    @F.arrow_udf("array<int>")
+    @F.arrow_udf("struct<ids: array<int>, pieces: int>")
     def merge(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merger = Merger(ranks)
         for pieces in column:
@@ -243,13 +245,18 @@ def encode_bpe(df: DataFrame, key: Sequence[str], vocab: Vocabulary, text: str =
             lengths = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(lengths)))]
             mask = pieces.is_null() if pieces.null_count else None
-            yield pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)), mask=mask)
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(ids.astype(np.int32)), mask=mask)
+            yield pa.StructArray.from_arrays([lists, pa.array(lengths, pa.int32())], names=["ids", "pieces"])
 
     refused = F.lit(False)
     for name in special_names():
         refused = refused | F.contains(F.col(text), F.lit(name))
-    ids = merge(pretokenize_full(text))
-    return df.withColumn(out, F.when(refused, F.raise_error(F.lit("a special name stands in the text"))).otherwise(ids))
+    # All names begin alike, so few texts are searched for each of them.
+    refused = F.contains(F.col(text), F.lit(os.path.commonprefix(special_names()))) & refused
+    checked = F.when(refused, F.raise_error(F.lit("a special name stands in the text"))).otherwise(F.col(text))
+    merged = df.withColumn("_merged", merge(pretokenize_full(checked)))
+    counted = {} if pieces is None else {pieces: F.col("_merged.pieces").cast("bigint")}
+    return merged.withColumns({out: F.col("_merged.ids"), **counted}).drop("_merged")
 
 
 def decode_bpe(ids: Column, vocab: Vocabulary) -> Column:

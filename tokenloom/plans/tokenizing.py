@@ -83,11 +83,10 @@ def encode(spark, folder):
 def encode_bpe(spark, folder):
     """SQL states the pieces and what the ids decode to; a test holds the ids themselves against a known encoder."""
     vocab = vocabulary(spark, folder)
-    rows = T.encode_bpe(documents(spark, folder).select("doc_id", "text"), ["doc_id"], vocab)
-    pieces = F.size(T.pretokenize_full("text")).cast("bigint")
+    rows = T.encode_bpe(documents(spark, folder).select("doc_id", "text"), ["doc_id"], vocab, pieces="pieces")
     # No piece is left out and none has more ids than bytes.
-    merged = F.size("input_ids").between(pieces, F.octet_length("text"))
-    return rows.select("doc_id", pieces.alias("pieces"), merged.alias("merged"), F.md5(T.decode_bpe(F.col("input_ids"), vocab)).alias("decoded"))
+    merged = F.size("input_ids").between(F.col("pieces"), F.octet_length("text"))
+    return rows.select("doc_id", "pieces", merged.alias("merged"), F.md5(T.decode_bpe(F.col("input_ids"), vocab)).alias("decoded"))
 
 
 @query(
