@@ -69,6 +69,7 @@ def test_states_stay_bounded_inside_a_batch(library, monkeypatch):
     base64 = "".join(draw.choices(signs, k=2_000_000))
     letters = "".join(draw.choices(signs[:52], k=200_000))
     monkeypatch.setattr(tc, "MAX_STATES", 40_000)
+    monkeypatch.setattr(tc, "TOGETHER", 16_384)
     counter = tc.TokenCounter(PATH)
     assert counter.count([base64])[1].tolist() == lengths(library, [base64])
     assert len(counter.counter.states) <= 40_000

@@ -35,7 +35,7 @@ BLOCK = 64
 #: States of the counter that are held; beyond it the table starts anew with those in use.
 MAX_STATES = 100_000
 #: Pre-tokens that are counted together, and so states in use at once.
-TOGETHER = 16_384
+TOGETHER = 49_152
 #: Most tokens of a text that is not over the limit.
 TOKEN_LIMIT = 512
 
