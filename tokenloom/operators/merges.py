@@ -18,7 +18,7 @@ NONE = np.int32(2**31 - 1)
 ROWS = 16_384
 LONGEST = 64
 #: Pieces whose ids are kept between batches.
-KEPT = 200_000
+KEPT = 150_000
 
 
 class Merger:
