@@ -35,7 +35,7 @@ OVERLAP_CHARS = 1_024
 #: A boundary this near to the end of a cut text may move when more text follows.
 UNSURE_CHARS = 4
 #: Pieces that are encoded together.
-PIECES_AT_ONCE = 1 << 20
+PIECES_AT_ONCE = 1 << 17
 
 
 def read_ranks(path: str) -> dict[bytes, int]:

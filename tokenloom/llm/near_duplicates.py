@@ -53,10 +53,10 @@ BINS = 256
 DOUBT = 6
 #: Nodes of a block of the comparison across components, and columns of one product of their sets.
 BLOCK = 256
-COLUMNS = 16_384
+COLUMNS = 4_096
 #: Most node numbers that are broadcast to pick texts from the corpus; more are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 
 LOWER = bytes(i + 32 if 65 <= i <= 90 else i for i in range(256))
 _RANDOM = np.random.default_rng(20240229)
