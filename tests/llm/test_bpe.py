@@ -109,3 +109,12 @@ def test_query_on_the_table(spark, library):
         assert got[row.doc_id].n_tokens == len(ids)
         assert got[row.doc_id].ids_sha256 == hashlib.sha256(packed).hexdigest()
         assert got[row.doc_id].decoded_sha256 == hashlib.sha256((row.text or "").encode()).hexdigest()
+
+
+def test_pieces_are_packed_in_parts(monkeypatch, library):
+    texts = ["", "one two", "", "drei vier fünf " * 40, "x", ""]
+    for at_once in (1, 3, 50, 1 << 17):
+        monkeypatch.setattr(bpe, "PIECES_AT_ONCE", at_once)
+        codec = bpe.Codec(PATH, PATTERN)
+        assert [ids_of(packed) for packed in codec.encode_many(texts)] == [library.encode_ordinary(text) for text in texts]
+        assert codec.encode_many([]) == [] and codec.pack(iter([[], []])) == [b"", b""]

@@ -16,7 +16,7 @@ are read, so other columns of the input cannot clash.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -64,21 +64,27 @@ class Codec:
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
         """Packed ids (little-endian, 32 bits) of texts."""
-        return self.pack([self.pieces.findall(text) for text in texts])
-
-    def pack(self, rows: list[list[str]]) -> list[bytes]:
-        """Packed ids of lists of pieces."""
-        out, held, count = [], [], 0
-        for i, row in enumerate(rows):
-            held.append(row)
-            count += len(row)
-            if count >= PIECES_AT_ONCE or i == len(rows) - 1:
-                ids, counts = self.merger.encode([piece for pieces in held for piece in pieces])
-                packed, ends = ids.astype("<u4").tobytes(), np.concatenate(([0], np.cumsum(counts)))
-                borders = 4 * ends[np.concatenate(([0], np.cumsum([len(pieces) for pieces in held])))]
-                out.extend(packed[start:end] for start, end in zip(borders[:-1].tolist(), borders[1:].tolist()))
-                held, count = [], 0
-        return out
+        return self.pack(self.pieces.findall(text) for text in texts)
+
+    def pack(self, rows: Iterable[list[str]]) -> list[bytes]:
+        """Packed ids of lists of pieces; no more lists are held at once than PIECES_AT_ONCE asks for."""
+        out: list[bytes] = []
+        held: list[str] = []
+        sizes: list[int] = []
+        for row in rows:
+            held += row
+            sizes.append(len(row))
+            if len(held) >= PIECES_AT_ONCE:
+                out += self._packed(held, sizes)
+                held, sizes = [], []
+        return out + self._packed(held, sizes) if sizes else out
+
+    def _packed(self, pieces: list[str], sizes: list[int]) -> list[bytes]:
+        """Packed ids of rows of so many pieces each."""
+        ids, counts = self.merger.encode(pieces)
+        packed, ends = ids.astype("<u4").tobytes(), np.concatenate(([0], np.cumsum(counts)))
+        borders = 4 * ends[np.concatenate(([0], np.cumsum(sizes)))]
+        return [packed[start:end] for start, end in zip(borders[:-1].tolist(), borders[1:].tolist())]
 
     def boundaries(self, text: str) -> list[int]:
         """Ends of the pieces of a text, as places of characters."""
@@ -129,19 +135,16 @@ def _split_chunks(path: str, pattern: str):
 def _encode_between(path: str, pattern: str):
     """Ids of the pieces of a chunk between its stitches; the boundaries are known, nothing is split again."""
 
+    def between(text: str, start: int, ends: list[int], first: int, final: int) -> list[str]:
+        inner = [first, *(end for end in ends if first < end <= final)]
+        return [text[a - start : b - start] for a, b in zip(inner, inner[1:])]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern)
         for batch in small_batches(batches, "text"):
-            rows = []
-            columns = (batch.column(name).to_pylist() for name in ("text", "start", "ends", "first", "final"))
-            for text, start, ends, first, final in zip(*columns):
-                at, pieces = first, []
-                for end in ends:
-                    if first < end <= final:
-                        pieces.append(text[at - start : end - start])
-                        at = end
-                rows.append(pieces)
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(codec.pack(rows), IDS)], names=["row", "chunk", "ids"])
+            rows = zip(*(batch.column(name) for name in ("text", "start", "ends", "first", "final")))
+            ids = codec.pack(between(*(value.as_py() for value in row)) for row in rows)
+            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("chunk"), pa.array(ids, IDS)], names=["row", "chunk", "ids"])
 
     return run
 
@@ -149,7 +152,7 @@ def _encode_between(path: str, pattern: str):
 def _join_ids(path: str, pattern: str, decoded: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec.of(path, pattern) if decoded else None
-        for batch in batches:
+        for batch in small_batches(batches, "parts"):
             yield _with_ids(batch, [b"".join(parts) for parts in batch.column("parts").to_pylist()], codec)
 
     return run
