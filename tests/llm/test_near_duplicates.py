@@ -175,3 +175,13 @@ def test_drop_copies_without_ids(spark):
     frame = spark.createDataFrame(rows, "doc_id bigint, text string")
     numbered = brute([(i, t) for i, (_, t) in enumerate(rows)], nd.SHINGLE)
     assert nd.drop_copies(frame).count() == len({c for _, _, c in numbered})
+
+
+def test_common_counts_add_up_over_ranges():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 2**64, n, dtype=np.uint64)) for n in (1, 5, 400, 900)]
+    sets += [np.unique(np.concatenate([sets[3][::3], sets[2]])), sets[3], np.array([0, 2**64 - 1], np.uint64)]
+    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
+    for at_once in (1, 7, 100, 1 << 20):
+        got = nd.common_counts(sets, at_once)
+        assert [[got[i, j] for j in range(len(sets)) if i != j] for i in range(len(sets))] == [[row[j] for j in range(len(sets)) if i != j] for i, row in enumerate(want)]

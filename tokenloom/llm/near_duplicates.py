@@ -54,6 +54,8 @@ DOUBT = 6
 #: Nodes of a block of the comparison across components, and columns of one product of their sets.
 BLOCK = 256
 COLUMNS = 4_096
+#: Codes of two blocks that are compared at a time.
+CODES_AT_ONCE = 1 << 19
 #: Most node numbers that are broadcast to pick texts from the corpus; more are joined by a shuffle.
 BROADCAST_NODES = 1_000_000
 CACHED_WORDS = 100_000
@@ -298,10 +300,23 @@ def _partners(percent: int):
 GROUP = ("bundle", "i", "j")
 
 
-def common_counts(sets: list[np.ndarray]) -> np.ndarray:
-    """Sizes of the intersections of all pairs of sets of distinct codes."""
+def common_counts(sets: list[np.ndarray], at_once: int = CODES_AT_ONCE) -> np.ndarray:
+    """Sizes of the intersections of all pairs of sets of sorted, distinct codes.
+
+    Counts of ranges of codes add up, so about ``at_once`` codes are compared at a time, however long the sets are.
+    """
+    total = np.zeros((len(sets), len(sets)), np.float64)
+    ranges = 1 + sum(map(len, sets)) // at_once
+    borders = np.array([i * 2**64 // ranges for i in range(1, ranges)], np.uint64)
+    cuts = [np.concatenate(([0], np.searchsorted(codes, borders), [len(codes)])) for codes in sets]
+    for i in range(ranges):
+        total += _common_in([codes[cut[i] : cut[i + 1]] for codes, cut in zip(sets, cuts)])
+    return total
+
+
+def _common_in(sets: list[np.ndarray]) -> np.ndarray:
     every = np.concatenate(sets)
-    owner = np.repeat(np.arange(len(sets)), [len(codes) for codes in sets])
+    owner = np.repeat(np.arange(len(sets), dtype=np.int32), [len(codes) for codes in sets])
     order = np.argsort(every, kind="stable")
     every, owner = every[order], owner[order]
     fresh = np.diff(every, prepend=every[:1] + np.uint64(1)) != 0
