@@ -284,7 +284,7 @@ def repeated_spans(docs: DataFrame, text: str = "text", depth: int = DEPTH, gram
     windows = cut.where(F.col("members") > SMALL_GROUP).select("bytes", "code", "low", "once").mapInArrow(_windows(depth), "window bigint, tail int, code bigint, begin int, once boolean")
     windows = stage(windows, "repeat-windows")
     twice = windows.groupBy("window", "tail").agg(F.count("*").alias("n")).where("n > 1").select("window", "tail")
-    large = windows.where("once").join(twice, ["window", "tail"]).select("code", "begin", (F.col("begin") + depth).alias("end"))
+    large = windows.where("once").join(twice, ["window", "tail"], "left_semi").select("code", "begin", (F.col("begin") + depth).alias("end"))
     # An extent that many texts share is one hot key, so not it is joined: the places of the others, each once, are taken out.
     alone = extents.where("n = 1").select("first.code", "first.low")
     places = left.groupBy("code", "low").agg(F.max("high").alias("high"))
