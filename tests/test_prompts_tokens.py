@@ -122,6 +122,29 @@ def test_byte_pair_round_trip(spark, docs):
     assert len(next(r.ids for r in rows if r.t == "the cat")) < len("the cat")
 
 
+def test_byte_pair_work_is_bounded_by_pieces(spark, docs, monkeypatch):
+    """However many pieces a batch of rows or one row has, only ``PART_PIECES`` are merged or decoded together."""
+    most = T.PART_PIECES
+
+    class Bounded(T.Merger):
+        def encode(self, pieces):
+            assert len(pieces) <= most
+            return super().encode(pieces)
+
+        def decode(self, ids):
+            assert len(ids) <= most
+            return super().decode(ids)
+
+    vocab = T.Vocabulary.build(docs, size=12)
+    rows = [(0, "the zebra " * 20_000), (1, None), (2, ""), *((i, "the cat sat " * 5_000) for i in range(3, 14)), (14, "a dog, " * 60_000), (15, None)]
+    df = spark.createDataFrame(rows, "n int, t string").coalesce(1)
+    want = {r.n: r.ids for r in T.encode_bpe(df.where("n in (0, 3)"), ["n"], vocab, "t", "ids").collect()}
+    monkeypatch.setattr(T, "Merger", Bounded)
+    got = T.encode_bpe(df, ["n"], vocab, "t", "ids").withColumn("back", T.decode_bpe(F.col("ids"), vocab)).collect()
+    assert {r.n: r.back for r in got} == dict(rows)
+    assert {r.n: r.ids for r in got if r.n in want} == want
+
+
 def test_byte_pair_refuses_special_names(spark, docs):
     vocab = T.Vocabulary.build(docs, size=12)
     with pytest.raises(Exception, match="special name"):

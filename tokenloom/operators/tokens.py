@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +20,8 @@ from tokenloom.session import stage
 
 # Largest vocabulary that travels to the executors as a value; a larger one is joined.
 MAX_LOCAL_PIECES = 1_000_000
+# Pieces or ids that a worker merges or decodes together: a batch holds thousands of texts of any length, their work tables many bytes a piece.
+PART_PIECES = 131_072
 
 
 def pretokenize(text: str | Column, pattern: str = SIMPLE_PATTERN) -> Column:
@@ -221,6 +224,23 @@ def tokenize_pairs(
     return rows.drop("_answered", "_prompt_len")
 
 
+def _row_parts(lists: pa.Array) -> Iterator[pa.Array]:
+    """Runs of rows with ``PART_PIECES`` values together at most, or one row."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    first = 0
+    while first < len(lists):
+        before = ends[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(ends, before + PART_PIECES, "right")))
+        yield lists.slice(first, last - first)
+        first = last
+
+
+def _by_parts(work: Callable[[pa.Array | np.ndarray], tuple[np.ndarray, np.ndarray]], values: pa.Array | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both results of ``work``, which treats each value by itself, from parts of ``PART_PIECES`` values of a long row."""
+    found = [work(values[start : start + PART_PIECES]) for start in range(0, max(1, len(values)), PART_PIECES)]
+    return np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found])
+
+
 def bpe_ranks(vocab: Vocabulary) -> dict[bytes, int]:
     """Ranks of a byte-pair encoding: 256 bytes, then the vocabulary's pieces."""
     ranks = {bytes([b]): b for b in range(256)}
@@ -240,8 +260,8 @@ def encode_bpe(df: DataFrame, key: Sequence[str], vocab: Vocabulary, text: str =
     @F.arrow_udf("struct<ids: array<int>, pieces: int>")
     def merge(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merger = Merger(ranks)
-        for pieces in column:
-            ids, counts = merger.encode(pieces.flatten().cast(pa.string()))
+        for pieces in chain.from_iterable(map(_row_parts, column)):
+            ids, counts = _by_parts(merger.encode, pieces.flatten().cast(pa.string()))
             lengths = pc.fill_null(pc.list_value_length(pieces), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(lengths)))]
             mask = pieces.is_null() if pieces.null_count else None
@@ -266,8 +286,8 @@ def decode_bpe(ids: Column, vocab: Vocabulary) -> Column:
     @F.arrow_udf("string")
     def decode(column: Iterator[pa.Array]) -> Iterator[pa.Array]:
         merger = Merger(ranks)
-        for lists in column:
-            raw, counts = merger.decode(lists.flatten().to_numpy())
+        for lists in chain.from_iterable(map(_row_parts, column)):
+            raw, counts = _by_parts(merger.decode, lists.flatten().to_numpy())
             lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
             ends = np.concatenate(([0], np.cumsum(counts)))[np.concatenate(([0], np.cumsum(lengths)))].tolist()
             whole, there = raw.tobytes(), lists.is_valid().to_pylist()
