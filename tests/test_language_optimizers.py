@@ -136,6 +136,16 @@ def test_training_follows_a_plain_loop_and_resumes(spark, tmp_path, monkeypatch)
 LAYERS = [6, 5, 4, 3]
 
 
+def test_training_deals_only_the_rows_of_its_steps(spark, monkeypatch):
+    """Of an epoch's rows only the range of the steps that run is asked for, so the rest is not shuffled."""
+    asked, whole = [], O.shuffled_positions
+    monkeypatch.setattr(O, "shuffled_positions", lambda *a, since=0, below=None, **b: asked.append((since, below)) or whole(*a, since=since, below=below, **b))
+    monkeypatch.setattr(O, "DEALT_STEPS", 2)
+    df = spark.range(100).selectExpr("id", "id / 100.0D AS a", "id / 50.0D AS y")
+    O.train(df, ["a", "y"], ["id"], O.linear_gradients(["a"], "y"), [0.0] * 2, O.AdamW(rate=0.1), 10, 2, 8, seed=7)
+    assert asked == [(0, 40), (40, 80), (80, 100), (0, 40), (40, 60)]
+
+
 def test_gradient_of_the_network_by_differences():
     rng = np.random.default_rng(1)
     x, classes, w = rng.normal(size=(8, 6)), rng.integers(0, 3, 8), rng.normal(size=N.weight_count(LAYERS)) * 0.5

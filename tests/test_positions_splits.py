@@ -13,6 +13,19 @@ def test_shuffled_positions_are_the_global_order(spark):
     assert {r.n for r in rows} == {1000}
 
 
+def test_shuffled_positions_between_two_borders(spark):
+    ordered = [r.id for r in spark.range(5000).orderBy(ordkey(7, "id"), "id").collect()]
+    df = spark.range(5000).repartition(7)
+    for since, below in ((0, 5), (1200, 1300), (4990, 9000), (5000, 6000)):
+        placed = P.shuffled_positions(df, ["id"], 7, below=below, since=since)
+        assert [(r.pos, r.id) for r in placed.orderBy("pos").collect()] == list(enumerate(ordered))[since:below]
+        assert placed.columns == ["id", "pos"]
+    grouped = spark.range(600).select("id", F.when(F.col("id") % 3 > 0, F.col("id") % 3).alias("g"))
+    whole = P.shuffled_positions(grouped, ["id"], 7, group=["g"]).where("pos >= 50 and pos < 60")
+    some = P.shuffled_positions(grouped, ["id"], 7, group=["g"], below=60, since=50)
+    assert some.count() == 30 and sorted(map(str, some.collect())) == sorted(map(str, whole.collect()))
+
+
 def test_key_positions_with_clustered_keys(spark):
     ids = [*range(500), *[10**15 + 3 * i for i in range(300)], -(10**12)]
     df = spark.createDataFrame([(i,) for i in ids], "k bigint").repartition(5)
