@@ -140,6 +140,27 @@ def test_a_long_prompt_lengthens_only_its_own_lists(spark, monkeypatch):
             assert r.tokens == want
 
 
+@pytest.mark.parametrize("lead", [0, 1, 15])
+def test_a_pick_from_the_head_of_a_list_is_that_of_the_whole(spark, monkeypatch, lead):
+    rng = random.Random(8)
+    words = [a + b for a in "abcde" for b in "uvwxyz"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randrange(2, 30))) for _ in range(200)]
+    table = N.next_token_scores(spark.createDataFrame([(t,) for t in texts], "text string"), end_token=END)
+    groups = {}
+    for r in table.collect():
+        groups.setdefault(r.ctx, []).append((r.token, r.score))
+    prompts = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(1, 40)))) for i in range(40)]
+    df = spark.createDataFrame(prompts, "id bigint, text string")
+    sampled = {}
+    for head in (10**6, lead):
+        monkeypatch.setattr(N, "LEAD", head)
+        run = N.generate(df, table, ["id"], "text", END, 3, do_sample=True, heat=0.5, p=0.9, k=5, penalty=1.5)
+        sampled[head] = {r.id: r.tokens for r in run.collect()}
+    assert sampled[lead] == sampled[10**6]
+    for r in N.generate(df, table, ["id"], "text", END, 4, k=1, penalty=1.5).collect():
+        assert r.tokens == plain_greedy(groups, dict(prompts)[r.id].split(), 4, 1.5, 0)
+
+
 def test_sampled_generation_is_repeatable_and_stays_in_the_nucleus(spark):
     df = spark.createDataFrame([("a b",)] * 6 + [("a c",)] * 3 + [("a d",)], "text string")
     table = N.next_token_scores(df, end_token=END)

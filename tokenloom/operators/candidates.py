@@ -21,6 +21,8 @@ HISTORIES = (256, 4_096)
 # Rows for which the lists of larger tables get one more salt, and most salts.
 SALT_ROWS = 250_000
 MAX_SALTS = 16
+# A pick first looks at the head of its list: so many options more than it keeps.
+LEAD = 15
 
 
 def next_token_scores(df: DataFrame, text: str = "text", end_token: str | None = None) -> DataFrame:
@@ -135,7 +137,31 @@ def prepare_options(scores: DataFrame, size: int) -> tuple[DataFrame, int]:
 
 def _pick(options: Column, history: Column, allow_end: Column, end_token: str, k: int, penalty: float,
           do_sample: bool, heat: float, p: float, u: Column) -> Column:
-    """Next token of one row from its option list."""
+    """Next token of one row from its option list.
+
+    A penalty only moves options back, so with as many unseen ones at the head of the list as the pick keeps, nothing
+    behind the head can come before them, and the rest of a long list is not scored.
+    """
+    needed = k if do_sample else 1
+    head = F.slice(options, 1, needed + LEAD)
+
+    def pick(seen: Column) -> Column:
+        fresh = F.filter(head, lambda o: ((o["token"] != end_token) | allow_end) & ~F.array_contains(seen, o["token"]))
+        # NULL and NaN are no scores to compare by; NaN stands first, NULL last.
+        plain = ~F.isnan(F.get(options, F.lit(0))["score"]) & F.try_element_at(options, F.lit(-1))["score"].isNotNull()
+        enough = (F.size(options) > needed + LEAD) & plain & (F.size(fresh) >= needed)
+        return F.when(enough, of(head, seen)).otherwise(of(options, seen))
+
+    def of(some: Column, seen: Column) -> Column:
+        return _pick_of(some, seen, allow_end, end_token, k, penalty, do_sample, heat, p, u)
+
+    # The history is put together once a row, not once an option.
+    return let(history, pick)
+
+
+def _pick_of(options: Column, history: Column, allow_end: Column, end_token: str, k: int, penalty: float,
+             do_sample: bool, heat: float, p: float, u: Column) -> Column:
+    """Next token from these options alone."""
     allowed = F.filter(options, lambda o: (o["token"] != end_token) | allow_end)
     scored = F.transform(
         allowed,
