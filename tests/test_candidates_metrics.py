@@ -140,6 +140,13 @@ def test_a_long_prompt_lengthens_only_its_own_lists(spark, monkeypatch):
             assert r.tokens == want
 
 
+def test_pairs_are_counted_without_a_lambda(spark):
+    rows = [("a b a b",), ("a",), ("",), (None,), ("b a b",)]
+    table = N.next_token_scores(spark.createDataFrame(rows, "text string"), end_token=END)
+    assert {(r.ctx, r.token): r.weight for r in table.collect()} == {("a", "b"): 3, ("b", "a"): 2, ("b", END): 2, ("a", END): 1}
+    assert "lambda" not in table._jdf.queryExecution().optimizedPlan().toString()
+
+
 @pytest.mark.parametrize("lead", [0, 1, 15])
 def test_a_pick_from_the_head_of_a_list_is_that_of_the_whole(spark, monkeypatch, lead):
     rng = random.Random(8)

@@ -31,15 +31,10 @@ def next_token_scores(df: DataFrame, text: str = "text", end_token: str | None =
     if end_token is not None:
         pieces = F.when(F.size(pieces) > 0, F.concat(pieces, F.array(F.lit(end_token)))).otherwise(pieces)
     texts = df.select(pieces.alias("_pieces"))
-    pairs = texts.select(
-        F.explode(
-            F.zip_with(
-                F.slice("_pieces", F.lit(1), F.greatest(F.size("_pieces") - 1, F.lit(0))),
-                F.slice("_pieces", 2, F.size("_pieces")),
-                lambda a, b: F.struct(a.alias("ctx"), b.alias("token")),
-            )
-        ).alias("_pair")
-    )
+    firsts = F.slice("_pieces", F.lit(1), F.greatest(F.size("_pieces") - 1, F.lit(0)))
+    sides = texts.select(firsts.alias("ctx"), F.slice("_pieces", 2, F.size("_pieces")).alias("token"))
+    # arrays_zip is compiled, zip_with calls its lambda for every pair.
+    pairs = sides.select(F.explode(F.arrays_zip("ctx", "token")).alias("_pair"))
     counts = pairs.groupBy("_pair.ctx", "_pair.token").agg(F.count("*").alias("weight"))
     return counts.withColumn("score", F.log(F.col("weight").cast("double")))
 
